@@ -6,20 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weftline.llm.chat import OP1_SQL, op1_chat
+from weftline.llm.jaccard import op9_jaccard
 from weftline.llm.language import op7_language
 from weftline.llm.media import op4_media
+from weftline.llm.mixing import OP5_SQL, op5_mix
 from weftline.llm.packing import op3_pack
 from weftline.llm.token_orc import op8_token_orc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_chat": op1_chat,
         "op3_pack": op3_pack,
         "op4_media": op4_media,
+        "op5_mix": op5_mix,
         "op7_language": op7_language,
         "op8_token_orc": op8_token_orc,
+        "op9_jaccard": op9_jaccard,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_chat": OP1_SQL, "op5_mix": OP5_SQL}
