@@ -12,6 +12,7 @@ from weftline.llm.language import op7_language
 from weftline.llm.media import op4_media
 from weftline.llm.mixing import OP5_SQL, op5_mix
 from weftline.llm.packing import op3_pack
+from weftline.llm.suffixes import op6_suffix
 from weftline.llm.token_orc import op8_token_orc
 
 
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_pack": op3_pack,
         "op4_media": op4_media,
         "op5_mix": op5_mix,
+        "op6_suffix": op6_suffix,
         "op7_language": op7_language,
         "op8_token_orc": op8_token_orc,
         "op9_jaccard": op9_jaccard,
