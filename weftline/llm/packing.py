@@ -43,8 +43,8 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, most:
                 part = batch.slice(at, 512)
                 out: list[tuple] = []
                 kept: list[np.ndarray] = []
-                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    ids = np.append(enc.ids(text or ""), np.uint32(end_id)).astype("<u4")
+                for doc_id, found in zip(part.column("doc_id").to_pylist(), enc.ids_batch(part.column("text").to_pylist()), strict=True):
+                    ids = np.append(found, np.uint32(end_id)).astype("<u4")
                     for k, (a, n) in enumerate(cut(len(ids), most)):
                         out.append((doc_id, k, a, n, zlib.crc32(ids[a : a + n].tobytes())))
                         kept += [ids[a : a + n]] if with_ids else []

@@ -36,7 +36,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = [np.append(enc.ids(t or ""), np.uint32(end_id)).astype(np.int32) for t in part.column("text").to_pylist()]
+                ids = [np.append(x, np.uint32(end_id)).astype(np.int32) for x in enc.ids_batch(part.column("text").to_pylist())]
                 ends = np.cumsum([0, *map(len, ids)])
                 flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.arange(row, row + len(ids)), pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))], names=["doc_id", "row", "ids"])

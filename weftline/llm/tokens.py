@@ -43,12 +43,15 @@ class _Kept(dict):
         if ids is None:
             ids = self.make(piece)
         if len(piece) <= LONGEST_KEPT:
-            if len(self) >= self.most:
-                self.elder = dict(self)
-                self.clear()
-            self[piece] = ids
+            self.keep(piece, ids)
         return ids
 
+    def keep(self, piece: str, ids: bytes) -> None:
+        if len(self) >= self.most:
+            self.elder = dict(self)
+            self.clear()
+        self[piece] = ids
+
 
 class Encoder:
     """ids(text) -> uint32 array, the same as the library's encode(text, add_special_tokens=False).ids."""
@@ -72,6 +75,9 @@ class Encoder:
         self.special = [x["content"] for x in told.get("added_tokens", [])]
         self.fine = _Kept(MOST_FINE, lambda piece: np.array(self.whole(piece), "<u2").tobytes())
         self.coarse = _Kept(MOST_COARSE, self._after_space)
+        #: Ids whose token begins with a space.
+        self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.spaced[[k for t, k in self.tokenizer.get_vocab().items() if t[:1] == "\u0120"]] = True
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -82,6 +88,34 @@ class Encoder:
             raise _Unsure
         return b"".join([self.fine[p] for p in PIECES.findall(" " + run)])
 
+    def _learn(self, texts: list[str]) -> None:
+        """Encode the new words of many texts in few calls: joined, each begins with a token that begins with a space."""
+        runs: set[str] = set()
+        for text in texts:
+            runs.update(text.split(" ")[1:])
+        fine, coarse = self.fine, self.coarse
+        new: set[str] = set()
+        for run in runs:
+            if run and run not in coarse and run not in coarse.elder:
+                word = PIECES.match(" " + run)[0]
+                if 1 < len(word) <= LONGEST_KEPT and word[1:].isalpha() and word not in fine and word not in fine.elder:
+                    new.add(word)
+        words = sorted(new)
+        for a in range(0, len(words), 1000):
+            part = words[a : a + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u2")
+            at, raw = np.flatnonzero(self.spaced[ids]).tolist(), ids.tobytes()
+            if len(at) == len(part):
+                for word, b, e in zip(part, at, [*at[1:], len(ids)], strict=True):
+                    fine.keep(word, raw[2 * b : 2 * e])
+
+    def ids_batch(self, texts: list[str | None]) -> list[np.ndarray]:
+        """ids() of many texts; a null is empty."""
+        texts = [t or "" for t in texts]
+        if self.by_piece:
+            self._learn(texts)
+        return [self.ids(t) for t in texts]
+
     def ids(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
