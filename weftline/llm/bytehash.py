@@ -89,11 +89,11 @@ def _classes() -> tuple[np.ndarray, np.ndarray]:
     return low, blank
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (runs of other bytes than ASCII blanks, A-Z lower-cased) and the row of each."""
+def words_at(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words (runs of other bytes than ASCII blanks, A-Z lower-cased), the row and the end of each."""
     low, blank = _classes()
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     ink = np.zeros(len(data) + 2, bool)
     ink[1:-1] = ~blank[data]
     first = np.zeros(len(data) + 1, bool)  # rows begin here
@@ -101,7 +101,11 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     begin = np.flatnonzero(ink[1:-1] & (~ink[:-2] | first[:-1]))
     end = np.flatnonzero(ink[1:-1] & (~ink[2:] | np.append(first[1:-1], True))) + 1
     rows = np.searchsorted(offsets, begin, side="right") - 1
-    return substrings(prefix(low[data]), begin, end), rows
+    return substrings(prefix(low[data]), begin, end), rows, end
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return words_at(data, offsets)[:2]
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarray]:

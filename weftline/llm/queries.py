@@ -12,6 +12,7 @@ from weftline.llm.language import op7_language
 from weftline.llm.media import op4_media
 from weftline.llm.mixing import OP5_SQL, op5_mix
 from weftline.llm.packing import op3_pack
+from weftline.llm.scoring import op2_lm
 from weftline.llm.suffixes import op6_suffix
 from weftline.llm.token_orc import op8_token_orc
 
@@ -19,6 +20,7 @@ from weftline.llm.token_orc import op8_token_orc
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat": op1_chat,
+        "op2_lm": op2_lm,
         "op3_pack": op3_pack,
         "op4_media": op4_media,
         "op5_mix": op5_mix,
