@@ -13,6 +13,7 @@ from weftline.llm.media import op4_media
 from weftline.llm.mixing import OP5_SQL, op5_mix
 from weftline.llm.packing import op3_pack
 from weftline.llm.scoring import op2_lm
+from weftline.llm.search import OP10_SQL, op10_search
 from weftline.llm.suffixes import op6_suffix
 from weftline.llm.token_orc import op8_token_orc
 
@@ -28,8 +29,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_language": op7_language,
         "op8_token_orc": op8_token_orc,
         "op9_jaccard": op9_jaccard,
+        "op10_search": op10_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat": OP1_SQL, "op5_mix": OP5_SQL}
+    return {"op1_chat": OP1_SQL, "op5_mix": OP5_SQL, "op10_search": OP10_SQL}
