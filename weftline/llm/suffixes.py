@@ -70,7 +70,8 @@ def sampled(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)]))
     first, last, place = starts[new], starts[np.append(new[1:] - 1, len(starts) - 1)], place[new]
     region = bytehash.substrings(p, first, last + length) + (place - first).astype(np.uint64) * U(0x9FB21C651E98DF25)
-    return first, last, place, grams[place], bytehash.mix(region)
+    # the chosen hashes are small ones: mixed anew, they spread over all hash ranges
+    return first, last, place, bytehash.mix(grams[place] * U(0x9E3779B97F4A7C15)), bytehash.mix(region)
 
 
 def slices(data: np.ndarray, length: int, block: int):
