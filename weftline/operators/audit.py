@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weftline.functions.names import with_components
 from weftline.operators.compat import OK, verdict
 from weftline.operators.review import has_match
+from weftline.sources.tables import scratch
 
 # ---- fixed values ---------------------------------------------------------------------------------
 SCORE_BANDS = (("100", 100, 101), ("95-99", 95, 100), ("90-94", 90, 95), ("80-89", 80, 90), ("70-79", 70, 80))
@@ -42,7 +43,7 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
 def component_audit(results: DataFrame) -> DataFrame:
     """Matches whose names fail the component check, with the reason."""
     rows = with_components(results.where(has_match()), "drug_name", "d_")
-    rows = verdict(with_components(rows, "matched_product_name_en", "m_"))
+    rows = verdict(scratch(with_components(scratch(rows, "audit-left"), "matched_product_name_en", "m_"), "audit-both"))
     return rows.where(F.col("reason") != OK).select("code", "drug_name", "matched_product_name_en", "match_method", "verified", "reason")
 
 

@@ -39,7 +39,8 @@ def query(oracle: str | None = None):
 
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return matching.parsed_inventory(I.inventory(spark, sf_dir)), matching.parsed_catalog(I.catalog(spark, sf_dir))
+    """Parsed inventory and catalog, written: a parse is built once, however often its columns are used."""
+    return scratch(matching.parsed_inventory(I.inventory(spark, sf_dir)), "inventory"), scratch(matching.parsed_catalog(I.catalog(spark, sf_dir)), "catalog")
 
 
 def _piped(c: str) -> Column:
@@ -122,7 +123,7 @@ def q_prefix_candidates(spark, sf_dir):
 
 @query(f"WITH {O.sides()}, {O.PREFIX_PAIRS}, pairs AS (SELECT * FROM pp JOIN d USING (row_index) JOIN m USING (idx)), {O.verdict('v', 'pairs')} SELECT row_index, idx, reason FROM v")
 def q_component_verdict(spark, sf_dir):
-    left, right = (scratch(x, "sides") for x in _sides(spark, sf_dir))
+    left, right = _sides(spark, sf_dir)
     return verdict(matching.joined(prefix_pairs(left, right), left, right)).select("row_index", "idx", "reason")
 
 
@@ -138,7 +139,7 @@ _SHOW = "CAST(least(round(score, 6), 100.0) AS DOUBLE) AS match_score"
 
 @query(f"{_BEST} SELECT row_index, idx, match_method, {_SHOW} FROM won")
 def q_match_component(spark, sf_dir):
-    left, right = (scratch(x, "sides") for x in _sides(spark, sf_dir))
+    left, right = _sides(spark, sf_dir)
     left = left.where(matching.gate(left, CFG).isNull())
     best = matching._stage(component_pairs(left, right), left, right, matching.component_score, "component_index", CFG)
     return best.select("row_index", "idx", "match_method", F.least(F.round("score", 6), F.lit(100.0)).alias("match_score"))
@@ -163,7 +164,7 @@ def q_match_full(spark, sf_dir):
 
 @query()
 def q_search_candidates(spark, sf_dir):
-    left, right = (scratch(x, "sides") for x in _sides(spark, sf_dir))
+    left, right = _sides(spark, sf_dir)
     return matching.search_candidates(left.where("row_index % 77 = 0"), right, CFG).select("row_index", "idx", "score", "reason", "stage", "ord")
 
 
@@ -377,9 +378,9 @@ def q_json_recover(spark, sf_dir):
 _RAW_INDEX = "CASE event_id % 7 WHEN 0 THEN '3' WHEN 1 THEN '\"2\"' WHEN 2 THEN 'true' WHEN 3 THEN '9' WHEN 4 THEN '-1' WHEN 5 THEN '\" 4 \"' ELSE '2-3' END"
 
 
-@query("SELECT event_id, CAST(CASE event_id % 7 WHEN 0 THEN 3 WHEN 1 THEN 2 WHEN 5 THEN 4 END AS INT) AS best_index FROM events")
+@query("SELECT event_id, CAST(CASE event_id % 7 WHEN 0 THEN 3 WHEN 1 THEN 2 WHEN 5 THEN 4 ELSE -1 END AS INT) AS best_index FROM events")
 def q_best_index(spark, sf_dir):
-    return I.table(spark, sf_dir, "events").select("event_id", R.best_index(F.expr(_RAW_INDEX), F.lit(5)).alias("best_index"))
+    return I.table(spark, sf_dir, "events").select("event_id", F.coalesce(R.best_index(F.expr(_RAW_INDEX), F.lit(5)), F.lit(-1)).alias("best_index"))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 3 = 0 AND event_id % 2 = 0 THEN 'json_generation_failed' WHEN event_id % 3 = 0 THEN 'http_400' WHEN event_id % 3 = 1 THEN 'http_429' ELSE 'http_500' END AS code FROM events")
