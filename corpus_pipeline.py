@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.llm import jaccard, language, mixing, packing, suffixes
-from weftline.llm.common import written
+from weftline.llm.common import SCRATCH, delete, written
 
 #: Documents whose language is undetermined or whose best profile fits worse than this are rejected.
 LEAST_FIT = 0.2
@@ -21,23 +21,26 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each group that five-word shingles of Jaccard 0.8 connect.
-    Of rows that repeat a kept doc_id one stays; rows without an id stay."""
+    Of rows that repeat a kept doc_id the one with the smallest text stays; rows without an id stay."""
     found = jaccard.jaccard_components(docs, 5, 80)
-    keep = found.where("doc_id = component_id OR component_id IS NULL").select(F.col("doc_id").alias("kept")).distinct()
-    unnamed = docs.where("doc_id IS NULL")
-    rows = docs.where("doc_id IS NOT NULL").join(keep, F.col("doc_id") == F.col("kept"), "left_semi").dropDuplicates(["doc_id"])
-    return rows.unionByName(unnamed)
+    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
+    named = rows.join(keep, rows["doc_id"] == keep["kept"], "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    named = named.withColumn("place", first).where("place = 1")
+    return named.select("_row.*").unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of any 200-byte string that also starts elsewhere; n_chars follows."""
     family = suffixes.Family(spark)
-    family.add(docs)
+    family.add(docs, last=True)
     cut = family.cut(with_text=True).dropDuplicates(["key"])
-    keyed = docs.withColumn("key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    text = F.when(F.col("kept").isNotNull(), F.col("kept")).otherwise(F.col("text"))
-    n_chars = F.when(F.col("kept").isNotNull(), F.length("kept").cast("long")).otherwise(F.col("n_chars"))
-    return keyed.join(cut, "key", "left").withColumn("n_chars", n_chars).withColumn("text", text).select(*docs.columns)
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("key"))
+    row, changed = F.col("_row").withField("text", F.col("kept")), F.col("kept").isNotNull()
+    if "n_chars" in docs.columns:
+        row = row.withField("n_chars", F.length("kept").cast("long"))
+    return keyed.join(cut, "key", "left").select(F.when(changed, row).otherwise(F.col("_row")).alias("_row")).select("_row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,12 +53,30 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs)
 
 
+#: Scratch tables of the stage before; its result is written by the time that the next one begins.
+_SPENT: list[str] = []
+
+
+def _tidy(stage):
+    """A stage that first deletes what the stage before it left in the shared folder."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        delete(spark, _SPENT)
+        _SPENT.clear()
+        before = len(SCRATCH)
+        out = stage(spark, docs, sf_dir)
+        _SPENT.extend(SCRATCH[before:])
+        return out
+
+    return run_stage
+
+
 STAGES = [
-    ("language", identify_language),
-    ("near_duplicates", drop_near_duplicates),
-    ("suffix_dedup", cut_repeats),
-    ("mixing", mix_sources),
-    ("packing", pack_sequences),
+    ("language", _tidy(identify_language)),
+    ("near_duplicates", _tidy(drop_near_duplicates)),
+    ("suffix_dedup", _tidy(cut_repeats)),
+    ("mixing", _tidy(mix_sources)),
+    ("packing", _tidy(pack_sequences)),
 ]
 
 #: Language profiles, byte-level matches and the tokenizer are beyond SQL; the tests hold run() against a plain version.

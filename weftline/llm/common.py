@@ -32,7 +32,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df in the shared folder and read it back, so a lost executor costs no recomputation."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    SCRATCH.append(path)
+    return out
+
+
+#: Paths of the tables that written() made and nobody has discarded yet.
+SCRATCH: list[str] = []
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        if path in SCRATCH:
+            SCRATCH.remove(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that written() made, once all that reads them is itself written."""
+    for t in tables:
+        delete(t.sparkSession, [t.scratch_path])
 
 
 def texts(df: DataFrame) -> DataFrame:

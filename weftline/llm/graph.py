@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import written
+from weftline.llm.common import discard, written
 
 
 class Forest:
@@ -62,8 +62,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(small.unionByName(lowest.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), name)
+        before, edges = edges, written(small.unionByName(lowest.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), name)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_000_007)).first()
+        discard(before)
         if now == seen:
             break
         seen = now

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.llm import bytehash
-from weftline.llm.common import texts, written
+from weftline.llm.common import discard, texts, written
 from weftline.llm.graph import Forest, components
 
 WORDS, PERCENT = 4, 85
@@ -266,12 +266,15 @@ def jaccard_components(docs: DataFrame, k_words: int = WORDS, percent: int = PER
     bits = _bits(spark)
     packed = written(prefixes(docs, k_words, percent, bits), "op9-prefixes")
     every = written(survivors(packed, frequencies(packed, bits), percent), "op9-documents")
+    discard(packed)
     copies = every.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
     nodes = every.where("tokens IS NOT NULL").dropDuplicates(["set_key"])  # equal sets have equal tokens
     groups = components(index_edges(nodes, percent), "op9-groups").select(F.col("node").alias("set_key"), F.col("component").alias("grp"))
     wanted = copies.where("n > 0").join(groups, "set_key").select("set_key", "doc_id", "grp")
     sets = written(exact_sets(docs, wanted, k_words), "op9-sets")
-    joined = components(written(links(sets, percent), "op9-links"), "op9-joined")
+    linked = written(links(sets, percent), "op9-links")
+    discard(sets)
+    joined = components(linked, "op9-joined")
     merged = copies.where("n > 0").join(joined, F.col("set_key") == F.col("node"), "left").select("set_key", "doc_id", F.coalesce("component", "set_key").alias("c"))
     smallest = merged.groupBy("c").agg(F.min("doc_id").alias("component_id"))
     of = merged.join(smallest, "c").select("set_key", "component_id")

@@ -131,7 +131,8 @@ class Judge:
 
 
 def predict(docs: DataFrame, profiles: dict[str, list[int]], top: int = TOP) -> DataFrame:
-    """docs with lang_pred and score, row by row; no shuffle."""
+    """docs with lang_pred and score (in place of columns of these names), row by row; no shuffle."""
+    docs = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def judge(batches):

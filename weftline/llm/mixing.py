@@ -12,7 +12,8 @@ which the budget ends, and the outcome is a threshold of the hash, so no text is
 
 Cases: null domain, language or source is the node named by the empty string; a null text has the one token
 that ends each document; documents that share a doc_id share their hash and are taken together or not at all;
-a node without a given weight has `default`; an empty table gives no rows; other columns are kept by mix().
+a node without a given weight has `default`; an empty table gives no rows; other columns are
+kept by mix_documents() and ignored otherwise.
 """
 
 from __future__ import annotations
@@ -114,8 +115,8 @@ def cuts(slim: DataFrame, mix: Mix) -> DataFrame:
 
 
 def choose(docs: DataFrame, mix: Mix) -> DataFrame:
-    """docs with domain, language, origin and n_copies, those with none left out."""
-    with_leaves = leaves_of(docs, mix)
+    """doc_id, text, lang, source (and _row, if given) with domain, language, origin and n_copies, those with none left out."""
+    with_leaves = leaves_of(docs.select(*(c for c in ("doc_id", "text", "lang", "source", "_row") if c in docs.columns)), mix)
     slim = written(with_leaves.select("doc_id", *LEVELS, n_tokens().alias("n_tokens")), "op5-slim")
     ends = written(cuts(slim, mix), "op5-cuts")
     chosen = with_leaves.join(ends, LEVELS)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import bytehash, gru
-from weftline.llm.common import fold_of, texts, written
+from weftline.llm.common import discard, fold_of, texts, written
 
 U = np.uint64
 #: Words with an output of their own (the end is one more); tokens that a task packs at once.
@@ -253,6 +253,7 @@ def lm_scores(docs: DataFrame, train_fold) -> DataFrame:
     found = corpus(counts, train_docs)
     shared = spark.sparkContext.broadcast(found)
     rows = written(resolved(parts, counts, bits, shared), "op2-symbols")
+    discard(parts, counts)
     shape = found.shape
     model = gru.packed(gru.initial(shape, found.counts))
     first = rows.where("NOT held_out").agg(F.min("part")).first()[0]

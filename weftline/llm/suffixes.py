@@ -11,7 +11,7 @@ whose neighbours share the longest contexts.
   finds the long matches between neighbours.
 - A suffix whose region occurs twice has only repeated windows. One that shares its 32 bytes with other regions
   alone is compared with them byte by byte of its start: the region's bytes are sent, and each window decides.
-- Documents get their ranges back, and every range of starts [a, b] removes bytes a .. b + 199.
+- Documents get their ranges back (by a hash of doc_id and text: rows that are equal have equal ranges), and every range of starts [a, b] removes bytes a .. b + 199.
 
 Matches are judged on the input and never cross documents. Texts that repeat cost a row a task, as equal
 regions are counted before the shuffle.
@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import bytehash
-from weftline.llm.common import texts, written
+from weftline.llm.common import discard, texts, written
 
 LENGTH, GRAM = 200, 32
-#: Bytes hashed at once, suffixes that a task packs at once.
-BLOCK, PACKED = 1 << 19, 1 << 20
+#: Bytes hashed at once, suffixes that a task packs at once, bytes of regions that it packs at once.
+BLOCK, PACKED, SENT = 1 << 19, 1 << 20, 1 << 24
 POSITION = 22  # bits
 U = np.uint64
 
@@ -213,9 +213,9 @@ def statuses(entries: np.ndarray) -> np.ndarray:
     return np.where(single, 0, REPEATED).astype(np.uint8) | np.where(mixed & new_region, WANTED, 0).astype(np.uint8)
 
 
-def level_rows(packed: DataFrame, before: DataFrame | None = None) -> DataFrame:
-    """Rows (kind, id, blob): levels (kind 0, by hash range) after a batch is added to those of before, and the
-    statuses (kind 1, by part) that result."""
+def level_rows(packed: DataFrame, before: DataFrame | None = None, keep_levels: bool = True) -> DataFrame:
+    """Rows (kind, id, blob): the statuses (kind 1, by part) after a batch is added to the levels of before and, if
+    they are to be kept for another batch, the levels (kind 0, by hash range)."""
     rows = packed.where("to >= 0").select("to", F.lit(False).alias("old"), "part", "blob")
     if before is not None:
         rows = rows.unionByName(before.where("kind = 0").select(F.col("id").cast("int").alias("to"), F.lit(True).alias("old"), F.lit(0).cast("long").alias("part"), "blob"))
@@ -236,20 +236,21 @@ def level_rows(packed: DataFrame, before: DataFrame | None = None) -> DataFrame:
         out, owner = out[order], said["part"][order]
         cut = np.flatnonzero(np.diff(owner, prepend=-1))
         of = np.split(out, cut[1:]) if len(cut) else []
-        ids = [*([key[0].as_py()] * len(levels.runs)), *owner[cut].tolist()]
-        kinds = [0] * len(levels.runs) + [1] * len(of)
-        return pa.table({"kind": pa.array(kinds, pa.int32()), "id": pa.array(ids, pa.int64()), "blob": pa.array([_squeezed(x) for x in (*levels.runs, *of)], pa.binary())})
+        kept = levels.runs if keep_levels else []
+        ids = [*([key[0].as_py()] * len(kept)), *owner[cut].tolist()]
+        kinds = [0] * len(kept) + [1] * len(of)
+        return pa.table({"kind": pa.array(kinds, pa.int32()), "id": pa.array(ids, pa.int64()), "blob": pa.array([_squeezed(x) for x in (*kept, *of)], pa.binary())})
 
     return rows.groupBy("to").applyInArrow(run, "kind int, id long, blob binary")
 
 
 def touched(packed: DataFrame, levels: DataFrame) -> DataFrame:
-    """A row for each document: uid, doc_id, key, n_bytes, sha and, if any of it may repeat, its repeated ranges of
+    """A row for each document: doc_id, key, n_bytes, sha and, if any of it may repeat, its repeated ranges of
     starts and the regions to compare (token, first, last, place)."""
     said = packed.where("to < 0").select("part", "to", "blob").unionByName(levels.where("kind = 1").select(F.col("id").alias("part"), F.lit(0).alias("to"), "blob"))
 
-    def run(key, table):
-        part, to, blobs = key[0].as_py(), table.column("to").to_pylist(), table.column("blob").to_pylist()
+    def run(table):
+        to, blobs = table.column("to").to_pylist(), table.column("blob").to_pylist()
         docs = pa.ipc.open_stream(next(b for b, t in zip(blobs, to, strict=True) if t == -1)).read_all()
         raw = _unsqueezed(next(b for b, t in zip(blobs, to, strict=True) if t == -2))
         n = len(raw) // 20
@@ -272,38 +273,61 @@ def touched(packed: DataFrame, levels: DataFrame) -> DataFrame:
         ranges = np.stack([first[repeated], last[repeated]], axis=1)
         asks = np.stack([token[rec[want]].astype(np.int64), first[want], last[want], (mine[want] & REPEATED).astype(np.int64)], axis=1) if len(want) else np.zeros((0, 4), np.int64)
         got = [(ranges[a:b].tobytes(), asks[c:d].tobytes()) if b > a or d > c else (None, None) for a, b, c, d in zip(cut_r[:-1].tolist(), cut_r[1:].tolist(), cut_w[:-1].tolist(), cut_w[1:].tolist(), strict=True)]
-        uid = pa.array((part << 20 if part < 1 << 43 else part * (1 << 19)) + np.arange(size), pa.int64())
-        return pa.table({"uid": uid, "doc_id": docs.column("doc_id"), "key": docs.column("key"), "n_bytes": docs.column("n_bytes"), "sha": docs.column("sha"), "ranges": pa.array([x for x, _ in got], pa.binary()), "asks": pa.array([x for _, x in got], pa.binary())})
+        return pa.table({"doc_id": docs.column("doc_id"), "key": docs.column("key"), "n_bytes": docs.column("n_bytes"), "sha": docs.column("sha"), "ranges": pa.array([x for x, _ in got], pa.binary()), "asks": pa.array([x for _, x in got], pa.binary())})
 
-    return said.groupBy("part").applyInArrow(run, "uid long, doc_id long, key long, n_bytes long, sha binary, ranges binary, asks binary")
+    return said.groupBy("part").applyInArrow(run, "doc_id long, key long, n_bytes long, sha binary, ranges binary, asks binary")
 
 
 def regions(found: DataFrame, length: int) -> DataFrame:
-    """The bytes of the regions asked for: rows (to, uid, first, repeated, bytes)."""
+    """The bytes of the regions asked for, packed by hash range: rows (to, blob)."""
+
+    def packed(rows: list[tuple]) -> bytes:
+        sizes = np.array([len(r[3]) for r in rows], "<i8")
+        head = np.array([r[:3] for r in rows], "<i8")
+        return len(rows).to_bytes(8, "little") + _squeezed(head, sizes, np.frombuffer(b"".join(r[3] for r in rows), np.uint8))
 
     def run(batches):
+        held: dict[int, list[tuple]] = {}
+        size = 0
+
+        def flush():
+            names, tos = ["to", "blob"], sorted(held)
+            out = pa.RecordBatch.from_arrays([pa.array(tos, pa.int64()), pa.array([packed(held[t]) for t in tos], pa.binary())], names=names)
+            held.clear()
+            return out
+
         for batch in batches:
-            out = []
-            for uid, text, asks in zip(*(batch.column(c).to_pylist() for c in ("uid", "text", "asks")), strict=True):
+            for doc, text, asks in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "asks")), strict=True):
                 raw = (text or "").encode()
                 for token, first, last, repeated in np.frombuffer(asks, "<i8").reshape(-1, 4).tolist():
-                    out.append((token >> 40, uid, first, bool(repeated), raw[first : last + length]))
-            for a in range(0, len(out), 10_000):
-                cols = list(zip(*out[a : a + 10_000], strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()), strict=True)], names=["to", "uid", "first", "repeated", "bytes"])
+                    held.setdefault(token >> 40, []).append((doc, first, repeated, raw[first : last + length]))
+                    size += last + length - first
+                if size >= SENT:
+                    yield flush()
+                    size = 0
+        if held:
+            yield flush()
 
-    return found.select("uid", "text", "asks").mapInArrow(run, "to long, uid long, first long, repeated boolean, bytes binary")
+    return found.select("key", "text", "asks").mapInArrow(run, "to long, blob binary")
 
 
 def compared(sent: DataFrame, length: int) -> DataFrame:
-    """(uid, ranges): the ranges of starts, among the regions sent, whose windows occur more than once."""
+    """(key, ranges): the ranges of starts, among the regions sent, whose windows occur more than once."""
 
     def run(table):
-        data = table.column("bytes").combine_chunks()
-        data = data.chunk(0) if isinstance(data, pa.ChunkedArray) else data
-        uid, first, skip = (table.column(c).to_numpy(zero_copy_only=False) for c in ("uid", "first", "repeated"))
+        heads, sizes, texts_ = [], [], []
+        for blob in table.column("blob").to_pylist():
+            n = int.from_bytes(blob[:8], "little")
+            raw = _unsqueezed(blob[8:])
+            heads.append(np.frombuffer(raw, "<i8", 3 * n).reshape(n, 3))
+            sizes.append(np.frombuffer(raw, "<i8", n, 24 * n))
+            texts_.append(np.frombuffer(raw, np.uint8, offset=32 * n))
+        doc, first, skip = np.concatenate(heads).T
+        skip = skip.astype(bool)
+        ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *sizes]))
+        data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(ends), pa.py_buffer(np.concatenate(texts_))])
         hashes, where, start = [], [], []
-        for at, block, offsets in bytehash.blocks(data):
+        for at, block, offsets in bytehash.blocks(data, BLOCK):
             n = np.diff(offsets) - length + 1
             row = np.repeat(np.arange(len(n)), n)
             s = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
@@ -319,16 +343,16 @@ def compared(sent: DataFrame, length: int) -> DataFrame:
         dup &= ~skip[where]
         where, start = where[dup], start[dup]
         if not len(where):
-            return pa.table({"uid": pa.array([], pa.int64()), "ranges": pa.array([], pa.binary())})
+            return pa.table({"key": pa.array([], pa.int64()), "ranges": pa.array([], pa.binary())})
         new = np.flatnonzero(np.concatenate([[True], (where[1:] != where[:-1]) | (start[1:] != start[:-1] + 1)]))
         end = np.append(new[1:] - 1, len(where) - 1)
         pairs = np.stack([first[where[new]] + start[new], first[where[new]] + start[end]], axis=1)
-        owner = uid[where[new]]
+        owner = doc[where[new]]
         order = np.argsort(owner, kind="stable")
         cut = np.flatnonzero(np.concatenate([[True], np.diff(owner[order]) != 0]))
-        return pa.table({"uid": pa.array(owner[order][cut], pa.int64()), "ranges": pa.array([x.tobytes() for x in np.split(pairs[order], cut[1:])], pa.binary())})
+        return pa.table({"key": pa.array(owner[order][cut], pa.int64()), "ranges": pa.array([x.tobytes() for x in np.split(pairs[order], cut[1:])], pa.binary())})
 
-    return sent.groupBy("to").applyInArrow(run, "uid long, ranges binary")
+    return sent.groupBy("to").applyInArrow(run, "key long, ranges binary")
 
 
 def removed_spans(ranges: list[bytes], length: int) -> np.ndarray:
@@ -353,11 +377,18 @@ class Family:
         self.docs: DataFrame | None = None
         self.packed: DataFrame | None = None
         self.levels: DataFrame | None = None
+        self.statuses: DataFrame | None = None
         self.batches = 0
+        self.tables: list[DataFrame] = []
 
-    def add(self, docs: DataFrame) -> None:
+    def add(self, docs: DataFrame, last: bool = False) -> None:
+        """A new batch; after the last one no levels are kept, so none can follow."""
+        if self.batches and self.levels is None:
+            raise ValueError("the last batch was added")
         new = written(suffix_arrays(docs, self.bits, self.batches, self.length, self.gram), "op6-suffixes")
-        self.levels = written(level_rows(new, self.levels), "op6-levels")
+        found = written(level_rows(new, self.levels, not last), "op6-levels")
+        self.statuses, self.levels = found, None if last else found
+        self.tables += [new, found]
         self.packed = new if self.packed is None else self.packed.unionByName(new)
         self.docs = texts(docs) if self.docs is None else self.docs.unionByName(texts(docs))
         self.batches += 1
@@ -366,13 +397,16 @@ class Family:
         """Per row of the documents: doc_id, n_bytes, n_removed, n_spans, kept_sha256. With text: key (xxhash64 of
         doc_id and text) and kept text of the rows that lose bytes; what remains of a character cut in two goes too."""
         length = self.length
-        every = written(touched(self.packed, self.levels), "op6-documents")
+        every = written(touched(self.packed, self.statuses), "op6-documents")
+        if self.levels is None:  # no batch can follow
+            discard(*self.tables)
+            self.tables = []
         work = every.where("ranges IS NOT NULL")
         text = self.docs.withColumn("key", F.xxhash64("doc_id", "text")).select("key", "text").dropDuplicates(["key"])
-        found = written(text.join(work, "key").select("uid", "key", "doc_id", "text", "ranges", "asks"), "op6-found")
+        found = written(text.join(work, "key").select("key", "doc_id", "text", "ranges", "asks"), "op6-found")
         more = compared(regions(found.where(F.length("asks") > 0), length), length)
-        more = more.groupBy("uid").agg(F.collect_list("ranges").alias("more"))  # of one document
-        joined = found.join(more, "uid", "left").select("key", "doc_id", "text", "ranges", "more")
+        more = more.groupBy("key").agg(F.collect_list("ranges").alias("more"))  # of one text
+        joined = found.join(more, "key", "left").select("key", "doc_id", "text", "ranges", "more")
 
         def finish(batches):
             for batch in batches:
@@ -401,5 +435,5 @@ class Family:
 
 def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     family = Family(spark)
-    family.add(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    family.add(spark.read.parquet(f"{sf_dir}/documents.parquet"), last=True)
     return family.cut()
