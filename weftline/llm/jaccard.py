@@ -183,13 +183,14 @@ def index_edges(nodes: DataFrame, percent: int) -> DataFrame:
     often = nodes.select("set_key", "n", "tokens", "dfs", F.size(F.filter("dfs", lambda d: d > FREQUENT)).alias("f"))
     often = often.withColumn("against", (F.col("f") > COMBINED) | (promised < 2))
     held = often.where("f > 0").select("set_key", "against", F.explode(F.arrays_zip("tokens", "dfs")).alias("e")).where(F.col("e.dfs") > FREQUENT).select("set_key", "against", F.col("e.tokens").alias("token"))
-    verdict = held.groupBy("token").agg(F.max("against").alias("single"))
-    classed = held.select("set_key", "token").join(verdict, "token")
+    # written sides make plain shuffled joins, in which Spark splits what a very common shingle brings together
+    verdict = written(held.groupBy("token").agg(F.max("against").alias("single")), "op9-classes")
+    classed = written(held.select("set_key", "token").join(verdict, "token"), "op9-classed")
     singles = entry.where(F.col("df") <= FREQUENT).select("set_key", F.col("token").alias("key")).unionByName(classed.where("single").select("set_key", F.col("token").alias("key")))
     grouped = classed.where("NOT single").groupBy("set_key").agg(F.array_sort(F.collect_set("token")).alias("t"))  # at most COMBINED of them
     pairs = grouped.select("set_key", F.explode(F.flatten(F.transform("t", lambda a: F.transform(F.filter(F.col("t"), lambda b: b > a), lambda b: F.xxhash64(a, b))))).alias("key"))
-    keys = singles.unionByName(pairs).distinct()
-    first = keys.groupBy("key").agg(F.min("set_key").alias("u"), F.count("*").alias("c")).where("c > 1").select("key", "u")
+    keys = written(singles.unionByName(pairs).distinct(), "op9-keys")
+    first = written(keys.groupBy("key").agg(F.min("set_key").alias("u"), F.count("*").alias("c")).where("c > 1").select("key", "u"), "op9-firsts")
     return keys.join(first, "key").where("set_key <> u").select("u", F.col("set_key").alias("v")).distinct()
 
 
