@@ -134,7 +134,7 @@ def masked(key: Column) -> Column:
 
 def listed(text: Column) -> Column:
     """The non-empty trimmed parts of a comma list."""
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def rendered(template: str, **values: Column) -> Column:
