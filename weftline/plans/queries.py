@@ -38,9 +38,9 @@ def query(oracle: str | None = None):
     return keep
 
 
-def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _sides(spark: SparkSession, sf_dir: str, inventory=I.inventory_of_sql) -> tuple[DataFrame, DataFrame]:
     """Parsed inventory and catalog, written: a parse is built once, however often its columns are used."""
-    return scratch(matching.parsed_inventory(I.inventory(spark, sf_dir)), "inventory"), scratch(matching.parsed_catalog(I.catalog(spark, sf_dir)), "catalog")
+    return scratch(matching.parsed_inventory(inventory(spark, sf_dir)), "inventory"), scratch(matching.parsed_catalog(I.catalog(spark, sf_dir)), "catalog")
 
 
 def _piped(c: str) -> Column:
@@ -52,7 +52,7 @@ def _piped(c: str) -> Column:
 
 @query(f"SELECT idx, {O.normalized('product_name_en')} AS normalized FROM ({I.select(I.CATALOG, 'part')}) UNION ALL SELECT -1 - row_index, {O.normalized('drug_name')} FROM ({I.select(I.INVENTORY, 'part', I.IS_WANTED)})")
 def q_normalize(spark, sf_dir):
-    cat, inv = I.catalog(spark, sf_dir), I.inventory(spark, sf_dir)
+    cat, inv = I.catalog(spark, sf_dir), I.inventory_of_sql(spark, sf_dir)
     return cat.select("idx", normalized(F.col("product_name_en")).alias("normalized")).unionByName(inv.select((-1 - F.col("row_index")).alias("idx"), normalized(F.col("drug_name")).alias("normalized")))
 
 
@@ -104,7 +104,7 @@ def q_similarity(spark, sf_dir):
 
 @query()
 def q_similarity_partial(spark, sf_dir):
-    pairs = I.table(spark, sf_dir, "part").where(I.IS_WANTED).select("p_partkey", normalized(F.expr(I.WANTED)).alias("a"), normalized(F.expr(I.PRODUCT)).alias("b"))
+    pairs = I.table(spark, sf_dir, "part").select("p_partkey", normalized(F.expr(I.WANTED)).alias("a"), normalized(F.expr(I.PRODUCT)).alias("b"))
     return pairs.select("p_partkey", partial_token_sort_udf("a", "b").alias("partial_token_sort"))
 
 
@@ -153,7 +153,7 @@ second AS (SELECT row_index, idx, score FROM ps QUALIFY row_number() OVER (PARTI
 SELECT row_index, idx, match_method, {_SHOW} FROM won UNION ALL SELECT row_index, idx, 'brand_index', {_SHOW} FROM second WHERE score >= 65"""
 )
 def q_match_cascade(spark, sf_dir):
-    found = matching.match(I.inventory(spark, sf_dir), I.catalog(spark, sf_dir), CFG, fuzzy=False).where("_idx IS NOT NULL")
+    found = matching.match(I.inventory_of_sql(spark, sf_dir), I.catalog(spark, sf_dir), CFG, fuzzy=False).where("_idx IS NOT NULL")
     return found.select("row_index", F.col("_idx").alias("idx"), "match_method", F.round("match_score", 6).alias("match_score"))
 
 
@@ -164,7 +164,7 @@ def q_match_full(spark, sf_dir):
 
 @query()
 def q_search_candidates(spark, sf_dir):
-    left, right = _sides(spark, sf_dir)
+    left, right = _sides(spark, sf_dir, I.inventory)
     return matching.search_candidates(left, right, CFG).select("row_index", "idx", "score", "reason", "stage", "ord")
 
 
@@ -294,7 +294,7 @@ def q_shared_codes(spark, sf_dir):
 @query(f"WITH pairs AS (SELECT d.*, m.* FROM d JOIN m ON m.idx = d.row_index + 8), {O.verdict('v', 'pairs')} SELECT code, reason FROM v WHERE reason <> 'ok'".replace("WITH ", f"WITH {O.sides()}, ", 1))
 def q_component_audit(spark, sf_dir):
     names = I.catalog(spark, sf_dir).select((F.col("idx") - 8).alias("row_index"), F.col("product_name_en").alias("matched_product_name_en"))
-    rows = I.inventory(spark, sf_dir).join(names, "row_index").select("code", "drug_name", "matched_product_name_en", F.lit("m").alias("match_method"), F.lit("v").alias("verified"))
+    rows = I.inventory_of_sql(spark, sf_dir).join(names, "row_index").select("code", "drug_name", "matched_product_name_en", F.lit("m").alias("match_method"), F.lit("v").alias("verified"))
     return audit.component_audit(rows).select("code", "reason")
 
 
