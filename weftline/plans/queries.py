@@ -168,8 +168,8 @@ def q_search_candidates(spark, sf_dir):
     return matching.search_candidates(left, right, CFG).select("row_index", "idx", "score", "reason", "stage", "ord")
 
 
-def _assisted(spark, sf_dir, fuzzy=False):
-    return scratch(matching.match(I.inventory(spark, sf_dir), I.catalog(spark, sf_dir), CFG, fuzzy=fuzzy), "matched")
+def _assisted(spark, sf_dir):
+    return scratch(matching.match(I.inventory(spark, sf_dir), I.catalog(spark, sf_dir), CFG), "matched")
 
 
 @query()
