@@ -20,15 +20,24 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group that five-word shingles of Jaccard 0.8 connect.
-    Of rows that repeat a kept doc_id the one with the smallest text stays; rows without an id stay."""
-    found = jaccard.jaccard_components(docs, 5, 80)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
-    named = rows.join(keep, rows["doc_id"] == keep["kept"], "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    named = named.withColumn("place", first).where("place = 1")
-    return named.select("_row.*").unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row, that of the least doc_id (nulls last) and then text, of each group of rows that five-word shingles of
+    Jaccard 0.8 connect, whatever their ids; rows without a word are in no group and all stay."""
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("key")
+    found = jaccard.jaccard_components(docs.select(key.alias("doc_id"), "text"), 5, 80).withColumnRenamed("doc_id", "key")
+    found = written(found.groupBy("key").agg(F.min("component_id").alias("component_id"), F.max("n_shingles").alias("n")), "near-rows")
+    # texts are compared only where a group's least id has several
+    ids = docs.select(key, F.struct(F.col("doc_id").isNull(), F.col("doc_id")).alias("id")).distinct()
+    grouped = written(ids.join(found.where("n > 0").select("key", "component_id"), "key"), "near-ids")
+    least = grouped.groupBy("component_id").agg(F.min("id").alias("id"))
+    first = grouped.join(least, ["component_id", "id"]).select("component_id", "key")
+    counted = written(first.groupBy("component_id").agg(F.count("*").alias("c"), F.min("key").alias("key")), "near-first")
+    tied = first.join(counted.where("c > 1").select("component_id"), "component_id")
+    won = docs.select(key, "text").join(tied, "key").groupBy("component_id").agg(F.min_by("key", "text").alias("key"))
+    keep = counted.where("c = 1").select("key").unionByName(won.select("key")).withColumn("grouped", F.lit(True))
+    keep = written(keep.unionByName(found.where("n = 0").select("key", F.lit(False).alias("grouped"))), "near-keep")
+    named = docs.select(F.struct(*docs.columns).alias("_row"), key).join(keep, "key")
+    place = F.row_number().over(Window.partitionBy("key").orderBy("grouped"))
+    return named.withColumn("place", place).where("place = 1 OR NOT grouped").select("_row.*")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
