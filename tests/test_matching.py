@@ -115,7 +115,9 @@ def test_sources(spark, tmp_path):
 
 def test_sheet(spark, tmp_path, matched):
     tables.write_sheet(matched, str(tmp_path / "sheet"))
-    back = spark.read.csv(str(tmp_path / "sheet"), header=True)
+    raw = b"".join(p.read_bytes() for p in (tmp_path / "sheet").glob("part-*"))
+    assert raw.startswith("\ufeffcode,".encode())
+    back = tables.read_csv(spark, str(tmp_path / "sheet"))
     assert tuple(back.columns) == tables.PUBLIC and back.count() == len(INVENTORY)
 
 
@@ -156,3 +158,13 @@ def test_oracles(spark, name):
 @pytest.mark.parametrize("name", sorted(set(Q.queries()) - set(Q.oracle_sql()) - {"q_stage_search", "q_stage_review", "q_stage_verify"}))
 def test_queries_without_oracle_run(spark, name):
     assert Q.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_inputs_meet_every_rule_and_stage(spark):
+    data = "/root/testdata/sf0.001"
+    reasons = {r["reason"] for r in Q.queries()["q_component_verdict"](spark, data).select("reason").distinct().collect()}
+    assert reasons >= {"ok", "different_import_status", "different_modifier", "different_flavor", "different_age_group", "different_brand", "different_dosage", "different_form", "different_route", "different_quantity", "different_volume", "different_weight"}
+    methods = {r["match_method"] for r in Q.queries()["q_match_full"](spark, data).select("match_method").distinct().collect()}
+    # a token-sort ratio is never above the other two, so it wins only where their best names fail the component check
+    assert methods >= {"component_index", "brand_index", "token_set_ratio", "partial_token_sort_ratio", "no_match"}
+    assert Q.queries()["q_free_counts"](spark, data).where("paid > 0").count() == 1

@@ -47,6 +47,11 @@ def component_audit(results: DataFrame) -> DataFrame:
     return rows.where(F.col("reason") != OK).select("code", "drug_name", "matched_product_name_en", "match_method", "verified", "reason")
 
 
+def component_audit_counts(audit: DataFrame, sample: int = 20) -> tuple[DataFrame, DataFrame]:
+    """Of component_audit(): rows by reason, most frequent first, and the first rows by code."""
+    return value_counts(audit, "reason", 12), audit.orderBy(F.asc_nulls_first("code"), "reason").limit(sample)
+
+
 def run_delta(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows of both runs by code (unique in each): what changed."""
     side = lambda df, p: df.select(F.col("code"), has_match().alias(p + "_match"), F.col("matched_store_product_id").cast("string").alias(p + "_id"))
@@ -129,6 +134,36 @@ def model_accuracy(cases: DataFrame, by: str = "model") -> DataFrame:
     )
 
 
+def markdown_report(accuracy: DataFrame, title: str, elapsed: str = "elapsed") -> list[str]:
+    """A benchmark as Markdown: models ranked, and the best of all, of the free and of the paid ones. One row a model."""
+    rows = [r.asDict() for r in ranked_models(accuracy, elapsed).orderBy("place").collect()]
+    out = [f"# {title}", "", "| # | Model | Accuracy | Should match | Should reject | Failed calls | Seconds |", "|-|-|-|-|-|-|-|"]
+    share = lambda x: f"{100 * x:.0f} %"
+    out += [f"| {r['place']} | `{r['model']}` | {share(r['accuracy'])} ({r['correct_count']}/{r['valid_count']}) | {share(r['match_accuracy'])} | {share(r['reject_accuracy'])} | {r['api_failed_count']}/{r['total']} | {r[elapsed]} |" for r in rows]
+    for label, some in (("Best", rows), ("Best free", [r for r in rows if ":free" in r["model"]]), ("Best paid", [r for r in rows if ":free" not in r["model"]])):
+        if some:
+            out += ["", f"{label}: `{some[0]['model']}`, {share(some[0]['accuracy'])}"]
+    return out
+
+
+def comparison_report(before: DataFrame, after: DataFrame, top: int = 15) -> list[str]:
+    """Two runs as text: counts of each, what changed, component failures by reason with a sample. Bounded by `top`."""
+    out: list[str] = []
+    for label, rows in (("before", before), ("after", after)):
+        out += [f"{label}: " + ", ".join(f"{k}={v}" for k, v in match_counts(rows).first().asDict().items())]
+        for column in ("match_method", "verified"):
+            out += [f"  {column} {r['value']}: {r['n']}" for r in value_counts(rows, column, top).collect()]
+        counts, sample = component_audit_counts(scratch(component_audit(rows), "audit-rows"))
+        out += [f"{label} component audit, {r['value']}: {r['n']}" for r in counts.collect()]
+        out += [f"  {r['code']}: {r['drug_name']} -> {r['matched_product_name_en']} ({r['match_method']}, {r['verified']}, {r['reason']})" for r in sample.collect()]
+    return [*out, "changes: " + ", ".join(f"{k}={v}" for k, v in delta_counts(run_delta(before, after)).first().asDict().items())]
+
+
+def status_pairs(results: DataFrame, columns: tuple[str, str] = ("verified", "match_method"), top: int = 15) -> DataFrame:
+    """The most frequent pairs of values of two columns."""
+    return results.groupBy(*columns).agg(F.count("*").alias("n")).orderBy(F.desc("n"), *(F.asc_nulls_first(c) for c in columns)).limit(top)
+
+
 def phase_statistics(results: DataFrame) -> DataFrame:
     return results.agg(*(F.count_if(F.col("verified").startswith(v)).alias(v) for v in ("ai_confirmed", "ai_corrected", "ai_rejected", "ai_found")), F.count_if(F.col("verified") == "ai_review_rejected").alias("ai_overridden"))
 

@@ -129,6 +129,34 @@ def enough_healthy(rows: DataFrame, min_rows: int, min_providers: int) -> DataFr
     return good.agg(F.count("*").alias("healthy"), F.count_distinct("provider").alias("providers")).withColumn("enough", (F.col("healthy") >= min_rows) & (F.col("providers") >= min_providers))
 
 
+# ---- preflight: which attempts to probe, and which to use then ----------------------------------------
+
+PREFLIGHT_POLICIES = ("smart", "full", "off")
+
+
+def preflight_selection(attempts: DataFrame, rows: DataFrame, policy: str = "smart", budget: int = 60, refresh: int = 10, tier_limit: int = 1) -> DataFrame:
+    """Attempts to probe. smart: the best that worked last time (at most `refresh`), then others in turn up to the budget;
+    full: all; off: none. rows: health rows of earlier probes."""
+    if policy != "smart":
+        return attempts if policy == "full" else attempts.limit(0)
+    cached = cached_working(attempts, rows, min(refresh, budget)).select(*ATTEMPT_KEY, "rotation_rank")
+    others = attempts.join(cached, list(ATTEMPT_KEY), "left_anti")
+    known = attempts.join(cached, list(ATTEMPT_KEY)).withColumn("picked", F.row_number().over(Window.orderBy("rotation_rank")))
+    both = known.select(*attempts.columns, F.lit(0).alias("_late"), "picked").unionByName(round_robin(others, budget, tier_limit).select(*attempts.columns, F.lit(1).alias("_late"), "picked"))
+    return both.orderBy("_late", "picked").limit(budget).drop("_late", "picked")
+
+
+def preflight_plan(attempts: DataFrame, tested: DataFrame, rows: DataFrame, policy: str = "smart") -> DataFrame:
+    """The plan after a probe: off leaves it, full keeps what worked, smart puts what worked first and what failed last."""
+    if policy == "off":
+        return attempts.withColumn("order", F.col("place"))
+    if policy == "full":
+        good = ranked_health(tested).where((F.col("mode") == "json") & F.col("ok")).groupBy(*ATTEMPT_KEY).agg(F.min("rotation_rank").alias("order"))
+        return attempts.join(good, list(ATTEMPT_KEY))
+    known = attempts_by_health(attempts, tested.unionByName(rows, allowMissingColumns=True))
+    return known.withColumn("order", F.row_number().over(Window.orderBy("priority", "place"))).select(*attempts.columns, "order")
+
+
 # ---- model lists ------------------------------------------------------------------------------------
 
 MODEL_COLUMNS = ("provider", "model_id", "name", "owned_by", "is_free", "prompt_price", "completion_price", "context_length", "modality", "input_modalities", "output_modalities", "max_completion_tokens", "per_request_limits", "supported_parameters", "active", "description")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 
 from weftline.functions.names import clean_brand
+from weftline.functions.rounding import rounded
 from weftline.functions.similarity import ratio_udf
 from weftline.operators.compat import OK, Side
 from weftline.operators.config import Matching
@@ -66,9 +67,18 @@ def review_selection(results: DataFrame, cfg: Matching) -> DataFrame:
 
 
 def eligibility(results: DataFrame, cfg: Matching) -> DataFrame:
-    """results with the assisted stage that a row may go to."""
-    stage = F.when(has_match(), F.when(F.col("match_score") < cfg.verify_threshold, "verify").otherwise("none")).when(F.col("match_method").isin("too_short", "invalid_name"), "none").otherwise("search")
-    return results.withColumn("ai_stage", stage)
+    """results with the assisted stage that a row may go to, and why."""
+    score, weak = F.col("match_score"), F.col("match_score") < cfg.verify_threshold
+    shown, gated = F.format_string("%.1f", rounded(score)), F.col("match_method").isin("too_short", "invalid_name")
+    stage = F.when(has_match(), F.when(weak, "verify").otherwise("none")).when(gated, "none").otherwise("search")
+    limit = F.lit(f"ai_threshold={cfg.verify_threshold}")
+    why = (
+        F.when(has_match() & weak, F.concat(F.lit("score="), shown, F.lit(" < "), limit, F.lit(" -> eligible for AI verify")))
+        .when(has_match(), F.concat(F.lit("score="), shown, F.lit(" >= "), limit, F.lit(" -> strong match, no AI needed")))
+        .when(gated, F.concat(F.col("match_method"), F.lit(" -> not eligible for AI")))
+        .otherwise("no_match -> eligible for AI search")
+    )
+    return results.withColumns({"ai_stage": stage, "ai_reason": why})
 
 
 def reviewable(pairs: DataFrame, cfg: Matching) -> DataFrame:
@@ -137,7 +147,9 @@ def apply_verification(results: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def apply_search(results: DataFrame, decisions: DataFrame) -> DataFrame:
-    """decisions: row_index, accepted, confidence, state, pick_score and rec_*."""
+    """decisions: row_index, accepted, confidence, state, error_code, pick_score and rec_*. Why a search found nothing stays
+    in _ai_search_error."""
+    results = results if "_ai_search_error" in results.columns else results.withColumn("_ai_search_error", F.lit(""))
     out = results.join(decisions, "row_index", "left")
     took = F.coalesce(F.col("accepted"), F.lit(False))
     cols = {c: F.when(took, F.col(f"rec_{c}")).otherwise(F.col(c)) for c in CLEARED}
@@ -148,6 +160,7 @@ def apply_search(results: DataFrame, decisions: DataFrame) -> DataFrame:
         "match_method": F.when(took, "ai_search").otherwise(F.col("match_method")),
         "ai_confidence": F.when(took, F.col("confidence")).otherwise(F.col("ai_confidence")),
         "_ai_component_reason": F.when(took & (F.col("state") != OK), F.col("state")).otherwise(F.col("_ai_component_reason")),
+        "_ai_search_error": F.when(F.col("error_code").isNotNull(), F.col("error_code")).otherwise(F.coalesce("_ai_search_error", F.lit(""))),
     }
     return out.withColumns(cols).select(*results.columns)
 

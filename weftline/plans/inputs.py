@@ -18,7 +18,53 @@ def _letter(divisor: int) -> str:
 
 S, N = "CAST(p_size AS STRING)", "CAST(p_partkey % 30 + 1 AS STRING)"
 CODE = f"{_letter(4)} || {_letter(104)} || {_letter(2704)}"
-PRODUCT = f"""upper({CODE} || ' ' || p_name) || CASE p_partkey % 8
+#: Parts come in fours that share CODE; in each RULED + FUZZY + PLAIN of them the first are are pairs made to meet one rule each, by their number.
+PLAIN = 24
+#: (catalog name, inventory name) after CODE; # is the part's size, ~ a digit that differs between the parts of a four.
+RULED = (
+    ("AGEON KIDS 100 MG SYRUP 60 ML", "AGEON ADULT 100mg syrup 60ml"),  # age group
+    ("CLASSIA SHAMPOO 100 ML", "CLASSIA STRIP 100 ml"),  # product class
+    ("ROUTEX I V # MG 10 AMP", "ROUTEX IM # mg 10 amp"),  # route
+    ("QUANTOL # MG 10 TAB", "QUANTOL # mg 1~ tab"),  # quantity
+    ("POWDREX POWDER 10 SACHETS", "POWDREX powder 1~ sachet"),  # quantity of a powder
+    ("SYRUPEX SYRUP # ML", "SYRUPEX syrup 1~ ml"),  # volume of a syrup
+    ("VOLUMIN # MG LOTION 100 ML", "VOLUMIN # mg lotion 12~ ml"),  # volume
+    ("WEIGHTA CREAM 30 GM", "WEIGHTA cream 3~ gm"),  # weight
+    (" INSULINAGYPT N 100 IU VIAL", " INSULINAGYPT R 100 iu vial"),  # insulin
+    (" INSULINAGYPT 70/30 100 IU VIAL", " INSULINAGYPT 100 iu vial"),  # insulin mix
+    ("FLAVORIN ORANGE 5 SACHETS", "FLAVORIN mint orange 5 sachet"),  # flavor, as a component
+    ("COLORIN ORANGE 5 SACHETS", "COLORIN lemon 5 sachet"),  # flavor, as words
+    ("OZOLAMINE # MG 10 TAB", "OZOLAMIN # mg 10tab"),  # brand by prefix
+    ("BRANDOMIX # MG 10 TAB", "BRANDALOT # mg 10 tab"),  # brand
+    ("DOSAMOL # MG 10 TAB", "DOSAMOL 9# mg 10 tab"),  # dosage
+    ("SUMMIDOL 5/10 MG 10 TAB", "SUMMIDOL 15 mg 10 tab"),  # dosage as a sum
+    ("RATEDOL 250 MG / 5 ML SYRUP 60 ML", "RATEDOL 250mg syrup 60 ml"),  # dosage per dose
+    ("FORMIX # MG 10 TAB", "FORMIX # mg 10 supp"),  # form
+    ("MODIFOL EXTRA # MG 10 TAB", "MODIFOL # mg 10 tab"),  # modifier
+    ("INFANTOL INF DROPS 30 ML", "INFANTOL drops 30 ml"),  # pediatric INF
+)
+FUZZY = (
+    ("ULTRAMEDICAL # MG 10 TAB", "ULTRAMEDICAL # mg 10tab"),
+    ("SETTIMEDICAL # MG 10 TAB", "SETTIMEDICAL # mg 10 tab made in a new local factory"),  # token set
+    ("PARTIMEDICAL # MG 10 TAB", "PARTIMEDICA # mg zz 10 tab"),
+    ("SINGULARDOL", "SINGULARDOL"),  # partial token sort
+    ("NOTHINGLIKE # MG 10 TAB", "ELSEWHERE 7 mg"),
+)
+_FOUR = f"CAST(floor(p_partkey / 4) AS BIGINT) % {len(RULED) + len(FUZZY) + PLAIN}"
+
+
+def _of_four(which: int, plain: str) -> str:
+    """A name by the four's number: a case's, or else `plain`."""
+    shown = lambda text: "'" + text.replace("#", f"' || {S} || '").replace("~", "' || CAST(p_partkey % 4 AS STRING) || '") + "'"
+    out = "CASE"
+    for k, pair in enumerate((*RULED, *FUZZY)):
+        # a fuzzy case's inventory name begins with another letter, so that no block holds both
+        first = "'Q' || " if which and k >= len(RULED) else ""
+        out += f" WHEN {_FOUR} = {k} THEN {first}{CODE} || {shown(pair[which])}"
+    return f"{out} ELSE {plain} END"
+
+
+PRODUCT = _of_four(0, f"""upper({CODE} || ' ' || p_name) || CASE p_partkey % 8
   WHEN 0 THEN ' ' || {S} || ' MG ' || {N} || ' TAB'
   WHEN 1 THEN ' ' || {S} || '.5MG ' || {N} || ' F.C.TABS'
   WHEN 2 THEN ' ' || {S} || ' MG / 5 ML SYRUP ' || {N} || '0 ML'
@@ -26,9 +72,9 @@ PRODUCT = f"""upper({CODE} || ' ' || p_name) || CASE p_partkey % 8
   WHEN 4 THEN ' PLUS ' || {S} || '/' || {N} || ' MG ' || {N} || ' CAPS'
   WHEN 5 THEN ' VAG. SUPP ' || {N} || ' SUPPS'
   WHEN 6 THEN ' ORANGE 1.000 IU ' || {N} || ' SACHETS'
-  ELSE ' .5% EYE DROPS ' || {S} || 'ML' END"""
+  ELSE ' .5% EYE DROPS ' || {S} || 'ML' END""")
 SPELLED = "CASE WHEN p_partkey % 5 = 0 THEN substr(p_name, 1, length(p_name) - 1) WHEN p_partkey % 13 = 0 THEN p_name || 'x' ELSE p_name END"
-WANTED = f"""CASE WHEN p_partkey % 35 = 0 THEN '+***IMP ' WHEN p_partkey % 77 = 0 THEN 'x' ELSE '' END || {CODE} || ' ' || {SPELLED} || CASE p_partkey % 8
+WANTED = _of_four(1, f"""CASE WHEN p_partkey % 35 = 0 THEN '+***IMP ' WHEN p_partkey % 77 = 0 THEN 'x' ELSE '' END || {CODE} || ' ' || {SPELLED} || CASE p_partkey % 8
   WHEN 0 THEN {S} || 'mg ' || {N} || 'tabs'
   WHEN 1 THEN ' ' || {S} || '.5 MG' || {N} || 'Tab'
   WHEN 2 THEN ' ' || {S} || 'MG/5ML syrup ' || {N} || '0ml'
@@ -36,8 +82,7 @@ WANTED = f"""CASE WHEN p_partkey % 35 = 0 THEN '+***IMP ' WHEN p_partkey % 77 =
   WHEN 4 THEN ' plus ' || {S} || ' / ' || {N} || 'mg ' || {N} || ' cap'
   WHEN 5 THEN ' vaginal ' || {N} || ' supp'
   WHEN 6 THEN ' orange 1000iu ' || {N} || ' sachet'
-  ELSE ' 0.5% eye drops ' || {S} || ' ml' END"""
-IS_WANTED = "p_partkey % 7 = 0"
+  ELSE ' 0.5% eye drops ' || {S} || ' ml' END""")
 PRICE_TEXT = "CASE WHEN p_partkey % 9 = 0 THEN '-' ELSE 'EGP ' || CAST(CAST(floor(p_retailprice * (1 + (p_partkey % 4) * 0.02)) AS BIGINT) AS STRING) END"
 
 CATALOG = {"idx": "p_partkey", "product_name_ar": "p_brand", "product_name_en": PRODUCT, "store_product_id": "CAST(p_partkey AS STRING)", "price": "p_retailprice"}
@@ -147,11 +192,6 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(*columns(INVENTORY))
 
 
-def inventory_of_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The seventh of the inventory that the registered SQL reads; only queries with such SQL start from it."""
-    return table(spark, sf_dir, "part").where(IS_WANTED).selectExpr(*columns(INVENTORY))
-
-
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(*columns(RESULTS))
 

@@ -150,7 +150,7 @@ def sides() -> str:
     """CTEs `d` and `m`: parsed inventory and catalog with prefixed components and prices."""
     d_cols = ", ".join(f"{f} AS d_{f}" for f in FIELDS)
     m_cols = ", ".join(f"{f} AS m_{f}" for f in FIELDS)
-    return f"""inv AS ({I.select(I.INVENTORY | {'d_price': PRICE}, 'part', I.IS_WANTED)}), cat AS ({I.select(I.CATALOG, 'part')}),
+    return f"""inv AS ({I.select(I.INVENTORY | {'d_price': PRICE}, 'part')}), cat AS ({I.select(I.CATALOG, 'part')}),
 {parsed('dp', 'inv', 'drug_name')}, {parsed('mp', 'cat', 'product_name_en')},
 d AS (SELECT row_index, code, drug_name, d_price, {d_cols} FROM dp), m AS (SELECT idx, product_name_en, store_product_id, price AS m_price, {m_cols} FROM mp)"""
 

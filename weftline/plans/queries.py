@@ -11,7 +11,7 @@ from weftline.functions import replies as R
 from weftline.functions.names import normalized, normalized_arabic
 from weftline.functions.pricing import formatted_price, parsed_price, price_bonus, price_delta_text
 from weftline.functions.similarity import partial_token_sort_udf, ratio_udf, token_set_udf, token_sort_udf
-from weftline.operators import audit, decide, endpoints, matching, review
+from weftline.operators import audit, decide, endpoints, matching, review, rotation, trace
 from weftline.operators.blocking import component_pairs, prefix_pairs
 from weftline.operators.compat import verdict
 from weftline.operators.config import Matching
@@ -38,9 +38,9 @@ def query(oracle: str | None = None):
     return keep
 
 
-def _sides(spark: SparkSession, sf_dir: str, inventory=I.inventory_of_sql) -> tuple[DataFrame, DataFrame]:
+def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Parsed inventory and catalog, written: a parse is built once, however often its columns are used."""
-    return scratch(matching.parsed_inventory(inventory(spark, sf_dir)), "inventory"), scratch(matching.parsed_catalog(I.catalog(spark, sf_dir)), "catalog")
+    return scratch(matching.parsed_inventory(I.inventory(spark, sf_dir)), "inventory"), scratch(matching.parsed_catalog(I.catalog(spark, sf_dir)), "catalog")
 
 
 def _piped(c: str) -> Column:
@@ -50,9 +50,9 @@ def _piped(c: str) -> Column:
 # ---- names, prices, similarity --------------------------------------------------------------------
 
 
-@query(f"SELECT idx, {O.normalized('product_name_en')} AS normalized FROM ({I.select(I.CATALOG, 'part')}) UNION ALL SELECT -1 - row_index, {O.normalized('drug_name')} FROM ({I.select(I.INVENTORY, 'part', I.IS_WANTED)})")
+@query(f"SELECT idx, {O.normalized('product_name_en')} AS normalized FROM ({I.select(I.CATALOG, 'part')}) UNION ALL SELECT -1 - row_index, {O.normalized('drug_name')} FROM ({I.select(I.INVENTORY, 'part')})")
 def q_normalize(spark, sf_dir):
-    cat, inv = I.catalog(spark, sf_dir), I.inventory_of_sql(spark, sf_dir)
+    cat, inv = I.catalog(spark, sf_dir), I.inventory(spark, sf_dir)
     return cat.select("idx", normalized(F.col("product_name_en")).alias("normalized")).unionByName(inv.select((-1 - F.col("row_index")).alias("idx"), normalized(F.col("drug_name")).alias("normalized")))
 
 
@@ -69,7 +69,7 @@ def q_normalize_arabic(spark, sf_dir):
 _PARSED = "norm AS normalized, imported, array_to_string(words, '|') AS words, brand, array_to_string(nums, '|') AS dosage_nums, qty, volume, weight, form, flavor, product_class, array_to_string(keys, '|') AS brand_keys"
 
 
-@query(f"WITH inv AS ({I.select(I.INVENTORY, 'part', I.IS_WANTED)}), cat AS ({I.select(I.CATALOG, 'part')}), {O.parsed('a', 'inv', 'drug_name')}, {O.parsed('b', 'cat', 'product_name_en')} SELECT 'd' AS side, row_index AS id, {_PARSED} FROM a UNION ALL SELECT 'm', idx, {_PARSED} FROM b")
+@query(f"WITH inv AS ({I.select(I.INVENTORY, 'part')}), cat AS ({I.select(I.CATALOG, 'part')}), {O.parsed('a', 'inv', 'drug_name')}, {O.parsed('b', 'cat', 'product_name_en')} SELECT 'd' AS side, row_index AS id, {_PARSED} FROM a UNION ALL SELECT 'm', idx, {_PARSED} FROM b")
 def q_parse_components(spark, sf_dir):
     keep = ["normalized", "imported", "words", "brand", "dosage_nums", "qty", "volume", "weight", "form", "flavor", "product_class", "brand_keys"]
     show = lambda p: [(_piped(p + c) if c in LISTS else F.col(p + c)).alias(c) for c in keep]
@@ -93,12 +93,12 @@ def q_price_text(spark, sf_dir):
     return I.table(spark, sf_dir, "part").select("p_partkey", formatted_price(text).alias("shown"), price_delta_text(text, F.col("p_retailprice").cast("string")).alias("delta"))
 
 
-_PAIRED = f"WITH p AS (SELECT p_partkey, {O.normalized(I.WANTED)} AS a, {O.normalized(I.PRODUCT)} AS b FROM part WHERE {I.IS_WANTED}), w AS (SELECT *, string_split(a, ' ') AS x, string_split(b, ' ') AS y FROM p)"
+_PAIRED = f"WITH p AS (SELECT p_partkey, {O.normalized(I.WANTED)} AS a, {O.normalized(I.PRODUCT)} AS b FROM part), w AS (SELECT *, string_split(a, ' ') AS x, string_split(b, ' ') AS y FROM p)"
 
 
 @query(f"{_PAIRED} SELECT p_partkey, {O.ratio('a', 'b')} AS ratio, {O.token_sort('x', 'y')} AS token_sort, {O.token_set('x', 'y')} AS token_set FROM w")
 def q_similarity(spark, sf_dir):
-    pairs = I.table(spark, sf_dir, "part").where(I.IS_WANTED).select("p_partkey", normalized(F.expr(I.WANTED)).alias("a"), normalized(F.expr(I.PRODUCT)).alias("b"))
+    pairs = I.table(spark, sf_dir, "part").select("p_partkey", normalized(F.expr(I.WANTED)).alias("a"), normalized(F.expr(I.PRODUCT)).alias("b"))
     return pairs.select("p_partkey", ratio_udf("a", "b").alias("ratio"), token_sort_udf("a", "b").alias("token_sort"), token_set_udf("a", "b").alias("token_set"))
 
 
@@ -153,7 +153,7 @@ second AS (SELECT row_index, idx, score FROM ps QUALIFY row_number() OVER (PARTI
 SELECT row_index, idx, match_method, {_SHOW} FROM won UNION ALL SELECT row_index, idx, 'brand_index', {_SHOW} FROM second WHERE score >= 65"""
 )
 def q_match_cascade(spark, sf_dir):
-    found = matching.match(I.inventory_of_sql(spark, sf_dir), I.catalog(spark, sf_dir), CFG, fuzzy=False).where("_idx IS NOT NULL")
+    found = matching.match(I.inventory(spark, sf_dir), I.catalog(spark, sf_dir), CFG, fuzzy=False).where("_idx IS NOT NULL")
     return found.select("row_index", F.col("_idx").alias("idx"), "match_method", F.round("match_score", 6).alias("match_score"))
 
 
@@ -164,7 +164,7 @@ def q_match_full(spark, sf_dir):
 
 @query()
 def q_search_candidates(spark, sf_dir):
-    left, right = _sides(spark, sf_dir, I.inventory)
+    left, right = _sides(spark, sf_dir)
     return matching.search_candidates(left, right, CFG).select("row_index", "idx", "score", "reason", "stage", "ord")
 
 
@@ -189,6 +189,52 @@ def q_stage_review(spark, sf_dir):
     return public(decide.review(unsure, I.catalog(spark, sf_dir)))
 
 
+# ---- trace events of a real run -----------------------------------------------------------------------
+
+_CASCADE = f"""{_BEST}, rest AS (SELECT * FROM open WHERE row_index NOT IN (SELECT row_index FROM won)),
+{O.PREFIX_PAIRS.replace('FROM d)', 'FROM rest)').replace('ck AS', 'ck2 AS').replace('mk AS', 'mk2 AS').replace('ck JOIN mk', 'ck2 JOIN mk2')}, ppairs AS (SELECT * FROM pp JOIN rest USING (row_index) JOIN m USING (idx)), {O.verdict('pv', 'ppairs')},
+ps AS (SELECT row_index, idx, hit, {O.token_sort('d_words', 'm_words')} + {O.BONUS} AS score FROM pv WHERE reason = 'ok'),
+second AS (SELECT row_index, idx, score FROM ps QUALIFY row_number() OVER (PARTITION BY row_index ORDER BY score DESC, hit, idx) = 1),
+took AS (SELECT row_index, idx FROM won UNION ALL SELECT row_index, idx FROM second WHERE score >= 65)"""
+
+
+def _run_events(spark, sf_dir) -> DataFrame:
+    return trace.traced_match(I.inventory(spark, sf_dir), I.catalog(spark, sf_dir), CFG, fuzzy=False)[1]
+
+
+@query(f"{_CASCADE} SELECT code, CASE WHEN idx IS NULL THEN 'no_match' ELSE 'matched' END AS final_status, coalesce(product_name_en, 'NONE') AS final_match FROM d LEFT JOIN took USING (row_index) LEFT JOIN m USING (idx)")
+def q_trace_run(spark, sf_dir):
+    return audit.trace_summary(_run_events(spark, sf_dir)).select("code", "final_status", "final_match")
+
+
+@query(
+    f"""{_CASCADE} SELECT step, decision, reject_rule, count(*) AS n FROM (
+  SELECT 'normalize' AS step, 'parsed' AS decision, '' AS reject_rule FROM d
+  UNION ALL SELECT 'candidate_generated', 'generated', '' FROM cv UNION ALL SELECT 'score_breakdown', 'score_calculated', '' FROM cv WHERE reason = 'ok'
+  UNION ALL SELECT 'component_check', CASE WHEN reason = 'ok' THEN 'accepted' ELSE 'rejected' END, CASE WHEN reason = 'ok' THEN '' ELSE reason END FROM (SELECT reason FROM cv UNION ALL SELECT reason FROM pv)
+  UNION ALL SELECT 'brand_lookup', 'generated', '' FROM pv UNION ALL SELECT 'brand_lookup', 'no_candidates', '' FROM rest WHERE row_index NOT IN (SELECT row_index FROM pv)
+  UNION ALL SELECT 'final', CASE WHEN idx IS NULL THEN 'no_match' ELSE 'matched' END, '' FROM d LEFT JOIN took USING (row_index)) GROUP BY ALL"""
+)
+def q_trace_steps(spark, sf_dir):
+    return _run_events(spark, sf_dir).groupBy("step", "decision", "reject_rule").agg(F.count("*").alias("n"))
+
+
+_MODEL_TEXT = "CASE WHEN ai_model <> '' THEN '  model=' || ai_model ELSE '' END"
+_LINE = f"""CASE step WHEN 'final' THEN '  >> FINAL: match=' || final_match || '  score=  method=  AI=  reason: ' || selection_reason
+  WHEN 'component_check' THEN '  [component_check] ' || candidate_name || '  brand=  ok=  reason=  reject_rule=' || coalesce(reject_rule, '')
+  WHEN 'brand_lookup' THEN '  [brand_lookup] ' || candidate_name || '  brand=  score='
+  WHEN 'ai_verify_result' THEN '  [AI VERIFY] result=' || ai_result || '  verifying=' || chr(39) || candidate_name || chr(39) || '  confidence=' || {_MODEL_TEXT} || '  ' || selection_reason
+  WHEN 'ai_search_result' THEN CASE WHEN ai_result = 'ai_found' THEN '  [AI SEARCH] FOUND: ' || candidate_name || '  confidence=' || {_MODEL_TEXT} ELSE '  [AI SEARCH] not found  ' || selection_reason END
+  ELSE '  [AI REVIEW] result=' || ai_result || '  review_confidence=  ' || selection_reason END"""
+
+
+@query(f"WITH e AS ({I.select(I.EVENTS, 'events')}) SELECT seq, {_LINE} AS value FROM e")
+def q_trace_lines(spark, sf_dir):
+    rows = I.events(spark, sf_dir)
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in rows.columns else F.lit("")
+    return rows.select("seq", F.concat(F.lit("  "), trace.line(text)).alias("value"))
+
+
 # ---- selections and reports over results ----------------------------------------------------------
 
 _RESULTS = f"WITH r AS ({I.select(I.RESULTS, 'orders')})"
@@ -294,7 +340,7 @@ def q_shared_codes(spark, sf_dir):
 @query(f"WITH pairs AS (SELECT d.*, m.* FROM d JOIN m ON m.idx = d.row_index + 8), {O.verdict('v', 'pairs')} SELECT code, reason FROM v WHERE reason <> 'ok'".replace("WITH ", f"WITH {O.sides()}, ", 1))
 def q_component_audit(spark, sf_dir):
     names = I.catalog(spark, sf_dir).select((F.col("idx") - 8).alias("row_index"), F.col("product_name_en").alias("matched_product_name_en"))
-    rows = I.inventory_of_sql(spark, sf_dir).join(names, "row_index").select("code", "drug_name", "matched_product_name_en", F.lit("m").alias("match_method"), F.lit("v").alias("verified"))
+    rows = I.inventory(spark, sf_dir).join(names, "row_index").select("code", "drug_name", "matched_product_name_en", F.lit("m").alias("match_method"), F.lit("v").alias("verified"))
     return audit.component_audit(rows).select("code", "reason")
 
 
@@ -404,6 +450,24 @@ def q_stated_confidence(spark, sf_dir):
     return I.table(spark, sf_dir, "events").select("event_id", k.alias("k"), R.stated_confidence(k / 100, F.col("event_id") % 2 == 0).alias("confidence"))
 
 
+@query(f"{_RESULTS} SELECT verified, match_method, count(*) AS n FROM r GROUP BY ALL ORDER BY n DESC, verified NULLS FIRST, match_method NULLS FIRST LIMIT 15")
+def q_status_pairs(spark, sf_dir):
+    return audit.status_pairs(I.results(spark, sf_dir))
+
+
+_FAILURES = {"provider": "CASE user_id % 3 WHEN 0 THEN 'alpha' WHEN 1 THEN 'beta' END", "key_suffix": "CAST(user_id % 5 AS STRING)", "model": "event_type || CAST(user_id % 40 AS STRING)", "seq": "event_id", "permanent": "event_id % 29 = 0"}
+_IS_FAILURE = "event_type = 'error'"
+
+
+@query(
+    f"""WITH f AS ({I.select(_FAILURES, 'events', _IS_FAILURE)}), n AS (SELECT *, row_number() OVER (PARTITION BY provider, key_suffix, model ORDER BY seq) AS nth FROM f)
+SELECT provider, key_suffix, model, count(*) AS failures, min(seq) FILTER (permanent OR nth >= 2) AS disabled_seq, count(*) FILTER (permanent OR nth >= 2) > 0 AS disabled FROM n GROUP BY ALL"""
+)
+def q_breaker_states(spark, sf_dir):
+    """The failures are the events of one type."""
+    return rotation.breaker_states(I.table(spark, sf_dir, "events").where(_IS_FAILURE).selectExpr(*I.columns(_FAILURES)))
+
+
 # ---- endpoints ------------------------------------------------------------------------------------
 
 PROVIDERS = ("gamma", "alpha", "beta")
@@ -465,6 +529,23 @@ def q_attempts_by_health(spark, sf_dir):
     return endpoints.attempts_by_health(I.attempts(spark, sf_dir), I.health(spark, sf_dir)).select("model", "priority")
 
 
+_SMART = f"""{_ATTEMPTS}, {_CLASSED}, ranked AS (SELECT *, row_number() OVER (ORDER BY fallback_tier, rotation_tier, quality_rank, quota DESC, CASE WHEN elapsed_s = 0 THEN 9999 ELSE elapsed_s END, provider, model) AS rr FROM cl),
+cached AS (SELECT t.model FROM t JOIN (SELECT provider, key_suffix, model, min(rr) AS rr FROM ranked WHERE mode = 'json' AND ok GROUP BY ALL) g USING (provider, key_suffix, model) ORDER BY g.rr LIMIT 5),
+turns AS (SELECT *, row_number() OVER (PARTITION BY rotation_tier, provider ORDER BY place) AS turn FROM t WHERE rotation_tier <= 2 AND model NOT IN (SELECT model FROM cached)),
+inturn AS (SELECT model, row_number() OVER (ORDER BY rotation_tier, turn, provider) AS picked FROM turns)"""
+
+
+@query(f"WITH {_SMART} SELECT model FROM cached UNION ALL SELECT model FROM inturn WHERE picked <= 20 - (SELECT count(*) FROM cached)")
+def q_preflight_smart(spark, sf_dir):
+    return endpoints.preflight_selection(I.attempts(spark, sf_dir), I.health(spark, sf_dir), "smart", 20, 5, 2).select("model")
+
+
+@query(f"WITH {_ATTEMPTS}, {_CLASSED} SELECT model, CAST(row_number() OVER (ORDER BY CASE WHEN cl.seq IS NULL THEN 1 WHEN ok THEN 0 WHEN health_status IN ('permission-failed', 'model-not-accessible') THEN 3 ELSE 2 END, place) AS INT) AS turn FROM t LEFT JOIN (SELECT * FROM cl WHERE mode = 'json') cl USING (provider, key_suffix, model)")
+def q_preflight_plan(spark, sf_dir):
+    tested = I.health(spark, sf_dir)
+    return endpoints.preflight_plan(I.attempts(spark, sf_dir), tested, tested.limit(0)).select("model", F.col("order").alias("turn"))
+
+
 @query("SELECT s_suppkey, CAST(CASE WHEN n <= 0 THEN 3 WHEN r <= (n + 2) // 3 THEN 1 WHEN r <= (2 * n + 2) // 3 THEN 2 ELSE 3 END AS INT) AS tier FROM (SELECT s_suppkey, s_suppkey % 9 + 1 AS r, s_suppkey % 14 AS n FROM supplier)")
 def q_model_tier(spark, sf_dir):
     return I.table(spark, sf_dir, "supplier").select("s_suppkey", endpoints.model_tier(F.col("s_suppkey") % 9 + 1, F.col("s_suppkey") % 14).alias("tier"))
@@ -491,7 +572,7 @@ def q_reset_in(spark, sf_dir):
 
 
 _MODEL = """CASE s_suppkey % 5
-  WHEN 0 THEN '{"id": "a/' || CAST(s_suppkey AS STRING) || ':free", "name": "A", "owned_by": "x", "context_length": 4096, "pricing": {"prompt": "0.1", "completion": "0.2"}, "architecture": {"modality": "text", "input_modalities": ["text", "image"]}, "supported_parameters": ["t", "p"]}'
+  WHEN 0 THEN '{"id": "a/' || CAST(s_suppkey AS STRING) || CASE WHEN s_suppkey % 2 = 0 THEN ':free' ELSE '' END || '", "name": "A", "owned_by": "x", "context_length": 4096, "pricing": {"prompt": "0.1", "completion": "0.2"}, "architecture": {"modality": "text", "input_modalities": ["text", "image"]}, "supported_parameters": ["t", "p"]}'
   WHEN 1 THEN '{"name": "models/g' || CAST(s_suppkey AS STRING) || '", "displayName": "G", "inputTokenLimit": 100, "supportedGenerationMethods": ["generateContent", "count"]}'
   WHEN 2 THEN '{"name": "@cf/c' || CAST(s_suppkey AS STRING) || '", "task": {"name": "chat"}, "description": "d"}'
   WHEN 3 THEN '{"id": "h' || CAST(s_suppkey AS STRING) || '", "name": "H", "publisher": "p", "rate_limit_tier": "low", "summary": "s"}'
@@ -504,9 +585,9 @@ def _models(spark, sf_dir):
 
 
 @query(
-    f"""SELECT {_PROVIDER} AS provider, CASE s_suppkey % 5 WHEN 0 THEN 'a/' || s_suppkey || ':free' WHEN 1 THEN 'models/g' || s_suppkey WHEN 2 THEN '@cf/c' || s_suppkey WHEN 3 THEN 'h' || s_suppkey ELSE 'ministral-' || s_suppkey END AS model_id,
+    f"""SELECT {_PROVIDER} AS provider, CASE s_suppkey % 5 WHEN 0 THEN 'a/' || s_suppkey || CASE WHEN s_suppkey % 2 = 0 THEN ':free' ELSE '' END WHEN 1 THEN 'models/g' || s_suppkey WHEN 2 THEN '@cf/c' || s_suppkey WHEN 3 THEN 'h' || s_suppkey ELSE 'ministral-' || s_suppkey END AS model_id,
   CASE s_suppkey % 5 WHEN 0 THEN 'A' WHEN 1 THEN 'G' WHEN 2 THEN 'c' || s_suppkey WHEN 3 THEN 'H' ELSE 'ministral-' || s_suppkey END AS name,
-  CASE s_suppkey % 5 WHEN 0 THEN 'x' WHEN 1 THEN 'Google' WHEN 2 THEN '' WHEN 3 THEN 'p' ELSE 'mistralai' END AS owned_by, true AS is_free,
+  CASE s_suppkey % 5 WHEN 0 THEN 'x' WHEN 1 THEN 'Google' WHEN 2 THEN '' WHEN 3 THEN 'p' ELSE 'mistralai' END AS owned_by, s_suppkey % 5 <> 0 OR s_suppkey % 2 = 0 AS is_free,
   CASE s_suppkey % 5 WHEN 0 THEN '4096' WHEN 1 THEN '100' WHEN 4 THEN '32' ELSE '' END AS context_length,
   CASE s_suppkey % 5 WHEN 0 THEN 'text|image' WHEN 1 THEN 'generateContent|count' ELSE '' END AS input_modalities,
   CASE s_suppkey % 5 WHEN 0 THEN 't|p' WHEN 1 THEN 'generateContent|count' WHEN 4 THEN 'chat' ELSE '' END AS supported_parameters,
@@ -516,7 +597,7 @@ def q_modellist_flatten(spark, sf_dir):
     return _models(spark, sf_dir).select("provider", "model_id", "name", "owned_by", "is_free", "context_length", "input_modalities", "supported_parameters", "prompt_price")
 
 
-@query(f"SELECT {_PROVIDER} AS provider, count(*) AS free, CAST(0 AS BIGINT) AS paid FROM supplier GROUP BY 1")
+@query(f"SELECT {_PROVIDER} AS provider, count(*) FILTER (s_suppkey % 5 <> 0 OR s_suppkey % 2 = 0) AS free, count(*) FILTER (s_suppkey % 5 = 0 AND s_suppkey % 2 <> 0) AS paid FROM supplier GROUP BY 1")
 def q_free_counts(spark, sf_dir):
     return endpoints.free_counts(_models(spark, sf_dir))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -19,10 +20,13 @@ REVIEW_BLANKS = ("manual_decision", "manual_reason", "correct_store_product_id")
 
 
 def scratch(df: DataFrame, name: str) -> DataFrame:
-    """df as a written table in the shared folder that spark.checkpoint.dir names; cuts lineage and plan size."""
+    """df as a written table in the shared folder that spark.checkpoint.dir names; cuts lineage and plan size. In local mode
+    (tests) an unset folder is a temporary one; on a cluster it is an error."""
     spark = df.sparkSession
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="weftline-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -86,9 +90,14 @@ def write_results(results: DataFrame, path: str) -> None:
     public(results).write.mode("overwrite").parquet(path)
 
 
+def with_mark(df: DataFrame) -> DataFrame:
+    """df with a byte order mark before its first header, from which spreadsheets know UTF-8."""
+    return df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
+
+
 def write_sheet(results: DataFrame, path: str) -> None:
     """For people: one CSV file, blanks for missing values."""
-    public(results).na.fill("").coalesce(1).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="")
+    with_mark(public(results).na.fill("")).coalesce(1).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="")
 
 
 def manual_review(results: DataFrame, verify_threshold: float) -> DataFrame:
