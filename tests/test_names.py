@@ -112,3 +112,22 @@ def test_rounding_is_pythons(spark):
     values = [97.35, 0.25, 0.35, 5.65, 99.95, 2.25, 66.66666, 100.0, 0.05, 12.45, *(k / 7 for k in range(50)), *(k + 0.05 for k in range(50))]
     got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(rounded(F.col("v"))).collect()]
     assert all(math.isclose(a, round(v, 1), abs_tol=1e-12) for a, v in zip(got, values, strict=True))
+
+
+def test_sql_functions_and_views(spark):
+    from weftline.functions import sql
+    from weftline.functions.names import normalized
+    from weftline.functions.pricing import parsed_price
+
+    sql.register(spark)
+    names = ["  alphadol500mg 20tab ", "+***IMP x_y\\z", "VAG. SUPP 1.000 IU", "a-b (c) .5% s r", None, ""]
+    rows = spark.createDataFrame([(n, f"EGP {k}.5" if k % 2 else "-٣") for k, n in enumerate(names)], "name string, price string")
+    rows.createOrReplaceTempView("sql_names")
+    got = spark.sql("SELECT weft_normalize(name) AS n, weft_price(price) AS p FROM sql_names").collect()
+    want = rows.select(normalized(F.col("name")).alias("n"), parsed_price(F.col("price")).alias("p")).collect()
+    assert got == want
+    assert spark.sql("SELECT weft_ratio('abcd', 'abce')").first()[0] == 75.0
+    sql.components_view(spark, "sql_names", "name", "sql_left", "d_")
+    sql.components_view(spark, "sql_left", "name", "sql_pairs", "m_")
+    sql.verdict_view(spark, "sql_pairs", "sql_judged")
+    assert {r["reason"] for r in spark.sql("SELECT reason FROM sql_judged").collect()} == {"ok"}
