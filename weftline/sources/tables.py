@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
-import tempfile
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,24 +11,15 @@ from pyspark.sql import types as T
 
 from weftline.functions import vocab as V
 from weftline.functions.pricing import parsed_price
+from weftline.sources.scratch import written
 
 PUBLIC = ("code", "drug_name", "matched_product_name_en", "matched_product_name_ar", "matched_store_product_id", "match_score", "verified", "match_method", "ai_confidence", "ai_review_confidence")
 REVIEW_BLANKS = ("manual_decision", "manual_reason", "correct_store_product_id")
 
 
 def scratch(df: DataFrame, name: str) -> DataFrame:
-    """df as a written table in the shared folder that spark.checkpoint.dir names; cuts lineage and plan size. In local mode
-    (tests) an unset folder is a temporary one; on a cluster it is an error."""
-    spark = df.sparkSession
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="weftline-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """df as a written table in the shared folder."""
+    return written(df, name)
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:

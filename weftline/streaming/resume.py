@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from weftline.operators.config import Matching
 from weftline.operators.matching import match
+from weftline.sources.scratch import collected, delete
 
 INVENTORY = T.StructType([T.StructField("row_index", T.LongType()), T.StructField("code", T.StringType()), T.StructField("drug_name", T.StringType()), T.StructField("drug_price", T.StringType())])
 
@@ -15,11 +16,14 @@ def match_stream(spark: SparkSession, source: str, catalog: DataFrame, sink: str
     """Match every inventory file under `source` once, in batches; returns the query when all present files are done.
 
     A batch writes its own folder under the sink, overwriting it if the batch is run again, so a restart after a
-    failure neither loses nor doubles rows.
+    failure neither loses nor doubles rows. Its scratch tables go when its folder is written.
     """
 
     def one(batch: DataFrame, number: int) -> None:
-        match(batch, catalog, cfg, fuzzy).write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        with collected() as made:
+            match(batch, catalog, cfg, fuzzy).write.mode("overwrite").parquet(f"{sink}/batch={number}")
+            delete(spark, made)
+            made.clear()
 
     stream = spark.readStream.schema(INVENTORY).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     query = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
