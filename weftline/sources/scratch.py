@@ -12,6 +12,10 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Files of a slim table, where there are fewer cores.
+LEAST_FILES = 8
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir. Where it is unset, a temporary one in local mode (tests) and an error on a cluster."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -32,10 +36,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a written table, read back; cuts lineage and plan size."""
+def written(df: DataFrame, name: str, slim: bool = False) -> DataFrame:
+    """df as a written table, read back; cuts lineage and plan size. slim: rows of a few numbers, written by two tasks a
+    core instead of one a partition, so that a small table isn't spread over as many files as the shuffle had parts."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.coalesce(max(LEAST_FILES, 2 * df.sparkSession.sparkContext.defaultParallelism)) if slim else df).write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
