@@ -2,58 +2,84 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import ctypes
 import zlib
+from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.sources.scratch import collected, delete, discard, scratch_path as scratch, shared_dir, written  # noqa: F401
+
 #: Words are runs of anything but these ASCII blanks (class body, valid in Java, RE2 and Python).
 BLANKS = r"\x20\x09-\x0D"
 WORD = rf"[^{BLANKS}]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a temporary one only where it is unset (tests)."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="weftline-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+def written_parts(df: DataFrame, name: str, by: str) -> tuple[DataFrame, str]:
+    """written(), in a folder for each value of the column `by`, and its path: discard_part() deletes one of them."""
+    path = scratch(df.sparkSession, name)
+    df.write.partitionBy(by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def discard_part(spark: SparkSession, path: str, by: str, value: int) -> None:
+    delete(spark, [f"{path}/{by}={value}"])
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df in the shared folder and read it back, so a lost executor costs no recomputation."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out.scratch_path = path
-    SCRATCH.append(path)
-    return out
+def hash_bits(docs: DataFrame, least: int, spread: int = 2) -> int:
+    """Bits of the hash ranges that docs are dealt over: `spread` ranges a shuffle partition, and no range for more than
+    RANGE_BYTES of the input, however large it is."""
+    spark = docs.sparkSession
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size // RANGE_BYTES if size < UNKNOWN_BYTES else 0
+    return max(least, (spread * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length(), int(known).bit_length())
+
+
+#: Input bytes of a hash range; sizes from which Spark has no estimate of a plan.
+RANGE_BYTES, UNKNOWN_BYTES = 256 << 20, 1 << 60
+
+
+def by_size(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of consecutive rows of about `most` bytes in a string or binary column; a longer value is alone in its slice."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    a = done = 0
+    while a < len(ends):
+        b = max(a + 1, int(np.searchsorted(ends, done + most, side="right")))
+        yield batch.slice(a, b - a)
+        a, done = b, int(ends[b - 1])
+
+
+def tidied(run):
+    """run(batches), after which the worker's freed memory goes back to the system: workers are kept for other stages."""
 
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            trim()
 
-#: Paths of the tables that written() made and nobody has discarded yet.
-SCRATCH: list[str] = []
+    return tidy
 
 
-def delete(spark: SparkSession, paths: list[str]) -> None:
-    for path in paths:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-        if path in SCRATCH:
-            SCRATCH.remove(path)
+def trim() -> None:
+    pa.default_memory_pool().release_unused()
+    libc = _libc()
+    if libc is not None:
+        libc.malloc_trim(0)
 
 
-def discard(*tables: DataFrame) -> None:
-    """Delete tables that written() made, once all that reads them is itself written."""
-    for t in tables:
-        delete(t.sparkSession, [t.scratch_path])
+@lru_cache
+def _libc():
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        return libc if hasattr(libc, "malloc_trim") else None
+    except OSError:  # another system
+        return None
 
 
 def texts(df: DataFrame) -> DataFrame:
