@@ -77,8 +77,10 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
 
     named = read_ids(spark, path).select(F.col("_metadata.file_name").alias("file"), "doc_id", "row", "ids")
     rows = written(named.mapInArrow(sums, "file string, doc_id long, row long, n_tokens long, ids_crc32 long"), "op8-sums")
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    # files in the order of their tasks: by number, as names stop being ordered at 100,000 of them
+    before = Window.orderBy("task", "file").rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).withColumn("task", F.regexp_extract("file", r"^part-(\d+)", 1).cast("long"))
+    files = files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     within = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     return rows.join(files, "file").select("doc_id", (F.col("base") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).alias("start"), "n_tokens", "ids_crc32")
 
