@@ -6,7 +6,8 @@ before anything returns to the level above. A leaf then takes whole epochs and t
 its documents in the order of a seeded hash, as long as they fit.
 
 The sharing is closed-form: children ordered by capacity over weight are full as long as that ratio is at most
-(budget left) / (weight left), which window functions tell. All of it is exact integer arithmetic. The prefix
+(budget left) / (weight left), which window functions tell. All of it is exact integer arithmetic; shares are rounded
+down, and what that leaves (under a token a child) isn't dealt out. The prefix
 of a leaf of any size comes from sums over 4096 hash buckets; single rows are ordered in the bucket alone in
 which the budget ends, and the outcome is a threshold of the hash, so no text is shuffled.
 
@@ -38,8 +39,8 @@ class Mix:
     share: tuple[int, int] = (3, 5)  # of the tokens there are
     max_epochs: int = 2
     seed: int = 17
-    #: Domain of a source, as SQL: here its number mod 4.
-    domain: str = "coalesce('d' || pmod(cast(nullif(regexp_extract(source, '([0-9]+)$', 1), '') as int), 4), '')"
+    #: Domain of a source, as SQL: here its number (of a long one the last nine digits) mod 4.
+    domain: str = "coalesce('d' || pmod(try_cast(right(regexp_extract(source, '([0-9]+)$', 1), 9) as int), 4), '')"
 
 
 PRODUCTION = Mix(domains={"d0": 4, "d1": 3, "d2": 2, "d3": 1}, languages={"en": 5, "fr": 2, "de": 2}, sources={"src0": 2})
@@ -65,9 +66,10 @@ def share_out(nodes: DataFrame, parents: list[str], weight: Column) -> DataFrame
     """nodes (with budget of the parent and cap) -> budget of each, at most its cap."""
     by = Window.partitionBy(*parents) if parents else Window.partitionBy(F.lit(0))
     name = LEVELS[len(parents)]
-    ratio = F.col("cap").cast("double") / F.col("weight").cast("double")
-    order = by.orderBy(ratio, F.col("cap"), F.col(name))
     nodes = nodes.withColumn("weight", weight)
+    # by capacity over weight: the whole part, then the fraction, which doubles tell apart for weights under 2**26
+    whole, fraction = F.expr("cap div weight"), F.expr("cap % weight").cast("double") / F.col("weight").cast("double")
+    order = by.orderBy(whole, fraction, F.col("cap"), F.col(name))
     nodes = nodes.withColumn("left", F.col("budget") - F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     nodes = nodes.withColumn("weight_left", F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)))
     full = F.col("cap") * F.col("weight_left") <= F.col("weight") * F.col("left")
@@ -101,7 +103,7 @@ def _key(mix: Mix) -> Column:
 def cuts(slim: DataFrame, mix: Mix) -> DataFrame:
     """domain, language, origin, epochs (whole ones) and last (the greatest hash of the further epoch's prefix)."""
     leaf = budgets(slim, mix).withColumn("epochs", F.expr("budget div avail")).withColumn("rest", F.expr("budget % avail"))
-    leaf = written(leaf, "op5-leaves")
+    leaf = written(leaf, "op5-leaves", slim=True)
     rows = slim.join(leaf.where(F.col("rest") > 0), LEVELS).withColumn("key", _key(mix)).select(*LEVELS, "rest", "key", "n_tokens", F.substring("key", 1, 3).alias("bucket"))
     sums = rows.groupBy(*LEVELS, "rest", "bucket").agg(F.sum("n_tokens").alias("n"), F.max("key").alias("last"))
     upto = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -118,7 +120,7 @@ def choose(docs: DataFrame, mix: Mix) -> DataFrame:
     """doc_id, text, lang, source (and _row, if given) with domain, language, origin and n_copies, those with none left out."""
     with_leaves = leaves_of(docs.select(*(c for c in ("doc_id", "text", "lang", "source", "_row") if c in docs.columns)), mix)
     slim = written(with_leaves.select("doc_id", *LEVELS, n_tokens().alias("n_tokens")), "op5-slim")
-    ends = written(cuts(slim, mix), "op5-cuts")
+    ends = written(cuts(slim, mix), "op5-cuts", slim=True)
     chosen = with_leaves.join(ends, LEVELS)
     copies = F.col("epochs") + F.coalesce((_key(mix) <= F.col("last")).cast("long"), F.lit(0))
     return chosen.withColumn("n_copies", copies).where("n_copies > 0").drop("epochs", "last")
@@ -154,15 +156,15 @@ def _level(src: str, parents: str, name: str, weight: str) -> str:
         SELECT *, budget - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lft,
           sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS wl
         FROM (SELECT *, CAST({weight} AS HUGEINT) AS weight FROM {src})
-        WINDOW o AS ({part} ORDER BY CAST(cap AS DOUBLE) / CAST(weight AS DOUBLE), cap, {name})))
-    WINDOW u AS ({part} ORDER BY CAST(cap AS DOUBLE) / CAST(weight AS DOUBLE), cap, {name} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)))"""
+        WINDOW o AS ({part} ORDER BY cap // weight, CAST(cap % weight AS DOUBLE) / CAST(weight AS DOUBLE), cap, {name})))
+    WINDOW u AS ({part} ORDER BY cap // weight, CAST(cap % weight AS DOUBLE) / CAST(weight AS DOUBLE), cap, {name} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)))"""
 
 
 def mix_sql(mix: Mix, table: str) -> str:
     """CTEs in DuckDB up to `chosen` (doc_id, domain, language, origin, n_tokens, n_copies) over a table of documents."""
     return f"""
 docs5 AS (
-  SELECT *, coalesce('d' || (CAST(nullif(regexp_extract(source, '([0-9]+)$', 1), '') AS INT) % 4), '') AS domain, coalesce(lang, '') AS language,
+  SELECT *, coalesce('d' || (TRY_CAST(right(regexp_extract(source, '([0-9]+)$', 1), 9) AS INT) % 4), '') AS domain, coalesce(lang, '') AS language,
     coalesce(source, '') AS origin, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) + 1 AS n_tokens FROM {table}
 ), leaf AS (
   SELECT domain, language, origin, CAST(sum(n_tokens) AS HUGEINT) AS avail, CAST(sum(n_tokens) * {mix.max_epochs} AS HUGEINT) AS cap FROM docs5 GROUP BY ALL
