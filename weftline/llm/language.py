@@ -8,7 +8,9 @@ the largest possible distance.
 
 Cases: a text that is null or holds no letter is `und` with score 0; ties of counts go to the smaller n-gram,
 ties of distance to the smaller language name; rows with a null lang teach nothing; without training rows all
-documents are `und` with score 0; repeated rows are predicted each; other columns are ignored.
+documents are `und` with score 0; repeated rows are predicted each; an empty table gives
+no rows; other columns are ignored by training and passed on by predict(), which drops columns of its own names;
+very long texts are counted in chunks.
 """
 
 from __future__ import annotations
@@ -19,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from weftline.llm.common import fold_of
+from weftline.llm.common import fold_of, tidied
 
 TOP = 300
 UND = "und"
@@ -100,7 +103,7 @@ def train(docs: DataFrame, top: int = TOP) -> dict[str, list[int]]:
             yield rows(lang, *merged(parts))
 
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    counts = known.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counts = known.mapInArrow(tidied(count), "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     best = counts.withColumn("place", place).where(F.col("place") <= top)
     profiles: dict[str, list[int]] = {}
@@ -143,8 +146,7 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], top: int = TOP) ->
                 said = [by(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([x for x, _ in said], pa.string()), pa.array([x for _, x in said], pa.float64())], names=[*part.schema.names, "lang_pred", "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(judge, f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(tidied(judge), StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
