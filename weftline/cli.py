@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
         p = stages.add_parser(name)
         p.add_argument("inventory")
         p.add_argument("catalog")
+        # fixed values: options and their defaults
         for flag, kind, default in (
             ("--limit", int, None), ("--start", int, None), ("--end", int, None), ("--threshold", float, 80), ("--ai-threshold", float, 90.0), ("--ai-verify-limit", int, None), ("--output", str, "output"),
             ("--model", str, None), ("--provider", str, None), ("--api-key", str, None), ("--review-model", str, None), ("--review-threshold", float, None), ("--ai-search-min-candidate-score", float, None),
