@@ -1,9 +1,11 @@
 """Media columns (4): audio stored losslessly, and features of it as fixed-shape Arrow tensors with time spans.
 
-to_audio() stores bytes as 8-bit mono PCM in a RIFF/WAVE column, with JVM functions alone. audio_features()
-reads the stored bytes back: rational polyphase resampling, overlapped log-mel filterbanks and hysteresis
-segmentation of the frame energy. Everything is row by row, so no key or source can make a task large; very
-long payloads are worked on in blocks of frames.
+to_audio() makes 8-bit mono PCM in a RIFF/WAVE column, with JVM functions alone, and stored() writes it as a table in the
+shared folder. audio_features() reads the stored bytes back: rational polyphase resampling, overlapped log-mel
+filterbanks and hysteresis segmentation of the frame energy. Its tensors can be stored as they are (store_features());
+described() reads them where they are made, so that a digest of them costs no second trip through the JVM.
+Everything is row by row, so no key or source can make a task large; very long payloads are worked on in blocks of
+frames. A payload and its header have to fit a binary value (2 GB), as the text has to fit a string.
 
 Cases: a null text is an empty text; an empty text is stored as 64 zero bytes; equal texts give equal values;
 repeated rows give repeated rows; an empty table gives no rows; other columns are ignored.
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm.common import texts
+from weftline.llm.common import scratch, texts, tidied
 
 UNIT, HEADER = 64, 44
 
@@ -176,8 +178,16 @@ def read_tiles(blob: bytes) -> pa.Table:
 FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, tensors binary, segments array<struct<start_s: double, end_s: double>>"
 
 
-def audio_features(media: DataFrame, p: Audio = Audio()) -> DataFrame:
-    """Read stored media back: checksums of what was read, tensors (Arrow IPC) and active segments."""
+def stored(media: DataFrame, path: str | None = None) -> DataFrame:
+    """Write to_audio()'s rows (in the shared folder, if no path is given) and read them back."""
+    path = path or scratch(media.sparkSession, "op4-media")
+    media.write.option("compression", "zstd").parquet(path)
+    return media.sparkSession.read.schema(media.schema).parquet(path)
+
+
+def _features(p: Audio):
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "tensors", "segments"]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())])))
 
     def features(batches):
         for batch in batches:
@@ -189,31 +199,50 @@ def audio_features(media: DataFrame, p: Audio = Audio()) -> DataFrame:
                     mels, energy = log_mel(payload, p)
                     out.append((doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(blob), hashlib.sha256(blob).hexdigest(), tiles(mels, p), [{"start_s": a, "end_s": b} for a, b in segments(energy, p)]))
                 cols = list(zip(*out, strict=True)) or [()] * 9
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())])))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "tensors", "segments"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+
+    return features
+
+
+def audio_features(media: DataFrame, p: Audio = Audio()) -> DataFrame:
+    """Of stored media: checksums of what was read, tensors (Arrow IPC) and active segments."""
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(tidied(_features(p)), FEATURES)
 
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(features, FEATURES)
+
+def store_features(media: DataFrame, path: str, p: Audio = Audio()) -> DataFrame:
+    """Write audio_features(), tensors and all, and read them back."""
+    audio_features(media, p).write.option("compression", "zstd").parquet(path)
+    return media.sparkSession.read.schema(FEATURES).parquet(path)
+
+
+def _told(batches):
+    for batch in batches:
+        out = []
+        for blob, spans in zip(batch.column("tensors").to_pylist(), batch.column("segments").to_pylist(), strict=True):
+            t = read_tiles(blob)
+            column = t.column("log_mel").combine_chunks()
+            x = (column.chunk(0) if isinstance(column, pa.ChunkedArray) else column).to_numpy_ndarray()
+            valid = t.column("frames").to_numpy()
+            bands = x.reshape(-1, x.shape[-1])[(np.arange(x.shape[1]) < valid[:, None]).ravel()].mean(axis=0, dtype=np.float64)
+            said = ",".join(f"{s['start_s']:.2f}-{s['end_s']:.2f}" for s in spans)
+            out.append(f"frames={int(valid.sum())};tiles={len(valid)};log_mel={','.join(f'{b:.1f}' for b in bands)};segments={len(spans)}:{zlib.crc32(said.encode()):08x}")
+        names = [c for c in batch.schema.names if c not in ("tensors", "segments")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out, pa.string())], names=[*names, "feature"])
+
+
+DESCRIBED = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
 def feature_text(features: DataFrame) -> DataFrame:
     """tensors and segments as one string: frames, mean of each mel band and the segments, read from the tensors."""
+    return features.mapInArrow(tidied(_told), DESCRIBED)
 
-    def told(batches):
-        for batch in batches:
-            out = []
-            for blob, spans in zip(batch.column("tensors").to_pylist(), batch.column("segments").to_pylist(), strict=True):
-                t = read_tiles(blob)
-                column = t.column("log_mel").combine_chunks()
-                x = (column.chunk(0) if isinstance(column, pa.ChunkedArray) else column).to_numpy_ndarray()
-                valid = t.column("frames").to_numpy()
-                bands = x.reshape(-1, x.shape[-1])[(np.arange(x.shape[1]) < valid[:, None]).ravel()].mean(axis=0, dtype=np.float64)
-                said = ",".join(f"{s['start_s']:.2f}-{s['end_s']:.2f}" for s in spans)
-                out.append(f"frames={int(valid.sum())};tiles={len(valid)};log_mel={','.join(f'{b:.1f}' for b in bands)};segments={len(spans)}:{zlib.crc32(said.encode()):08x}")
-            names = [c for c in batch.schema.names if c not in ("tensors", "segments")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out, pa.string())], names=[*names, "feature"])
 
-    return features.mapInArrow(told, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+def described(media: DataFrame, p: Audio = Audio()) -> DataFrame:
+    """feature_text() of audio_features(), in one go."""
+    features = _features(p)
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(tidied(lambda batches: _told(features(batches))), DESCRIBED)
 
 
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feature_text(audio_features(to_audio(spark.read.parquet(f"{sf_dir}/documents.parquet"))))
+    return described(stored(to_audio(spark.read.parquet(f"{sf_dir}/documents.parquet"))))
