@@ -1,20 +1,24 @@
-"""Exact top-k search (10): BM25 over sharded inverted indexes with block-max pruning, merged by global statistics.
+"""Exact top-k search (10): BM25 over sharded inverted indexes with block-max WAND pruning, merged by global statistics.
 
-Each part of the documents becomes a shard: postings by term (64-bit word hashes), cut into blocks of documents,
-with the greatest impact of every term in every block. Document frequencies and lengths of the whole corpus
-score all shards alike, so merging the shards' top k gives the corpus's top k exactly.
+Each part of the documents becomes a shard: postings by term (64-bit word hashes) over blocks of documents.
+Document frequencies and lengths of the whole corpus score all shards alike, so merging the shards' top k gives
+the corpus's top k exactly.
 
-A query's blocks are visited by falling upper bound (the sum of its terms' block maxima) and the visit ends
-where the bound falls under the k-th score: block-max WAND with the block as its unit, so that numpy evaluates
-a run of blocks at once. Queries run in blocks of bounded size; a block of queries is what is broadcast.
+A query first meets the shard that it comes from, in full: the k-th score there is a floor for all other shards,
+and a task raises it from shard to shard. In a shard the query's terms are ordered by their greatest impact. The
+pivot is where their sum reaches a share of the floor: documents that hold terms before it alone can't be listed, so
+only the postings after it are read. A document read there is scored in full (the terms before the pivot are looked up) only
+if what it has so far, and then the block maxima of those terms, leave it a chance. Queries run in blocks
+of bounded size; a block of queries is what is broadcast.
 
 Score: sum over the query's distinct words of ln(1 + (N - df + .5) / (df + .5)) * tf * 2.2 / (tf + 1.2 * (.25 +
 .75 * length / mean length)), rounded to 6 digits; words are runs of other bytes than ASCII blanks, A-Z
 lower-cased. Ties go to the smaller doc_id, a null one last; documents that share no word with a query have no
 score and are not listed.
 
-Cases: a null text has no words, finds nothing and is never found; very long texts are queries like others;
-repeated rows are documents of their own; an empty table gives no rows; other columns are ignored.
+Cases: a null text has no words, finds nothing and is never found; a row with a null doc_id is no query; very long
+texts are queries like others; repeated rows are documents and queries of their own (rows that share an id are
+listed under it each with ranks of its own); an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,11 +30,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.llm import bytehash
-from weftline.llm.common import texts, written
+from weftline.llm.common import discard, hash_bits, texts, tidied, written
 
 K1, B = 1.2, 0.75
 #: Documents of a block; postings that a shard holds; distinct words of a block of queries.
-BLOCK, POSTINGS, QUERY_WORDS = 64, 3 << 20, 1 << 19
+BLOCK, POSTINGS, QUERY_WORDS = 64, 2 << 20, 1 << 20
+#: Scores are rounded and summed in floating point: bounds closer than this to a floor don't rule out.
+SLACK = 1e-5
+#: Share of the floor up to which the sum of the terms' greatest impacts puts the pivot. At 1 the fewest postings are
+#: read, but most documents read keep a chance; the results are the same at any share up to 1.
+PIVOT = 0.4
+#: Documents of a shard at most (20 bits number the queries of a part).
+DOCS = 1 << 20
 U = np.uint64
 
 
@@ -79,12 +90,12 @@ def shards(docs: DataFrame, is_query: Column, bits: int) -> DataFrame:
             groups += [group] if group else []
             for g, group in enumerate(groups):
                 flat = np.concatenate([terms[k] for k in group])
-                owner = np.repeat(np.array([ids[k] for k in group], np.int64), [len(terms[k]) for k in group])
+                owner = np.repeat(np.array([[part << 20 | k, ids[k]] for k in group], np.int64), [len(terms[k]) for k in group], axis=0)
                 to = (flat >> U(64 - bits)).astype(np.int64)
                 by = np.argsort(to, kind="stable")
                 cut = np.flatnonzero(np.diff(to[by], prepend=-1))
                 for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(by)], strict=True):
-                    rows.append((2 + g, int(to[by[a]]), flat[by[a:b]].tobytes() + owner[by[a:b]].tobytes()))
+                    rows.append((2 + g, int(to[by[a]]), flat[by[a:b]].tobytes() + owner[by[a:b], 0].tobytes() + owner[by[a:b], 1].tobytes()))
             total = int(sum(sizes))
             for x in (ids, asks, terms, tfs, sizes):
                 x.clear()
@@ -103,14 +114,14 @@ def shards(docs: DataFrame, is_query: Column, bits: int) -> DataFrame:
                     tfs.append(f)
                     sizes.append(b - a)
                     held += len(t)
-                if held >= POSTINGS or len(ids) >= 1 << 20:
+                if held >= POSTINGS or len(ids) >= DOCS - 1:
                     yield flush()
                     held = 0
         if ids:
             yield flush()
 
     keyed = texts(docs).withColumn("query", is_query)
-    return keyed.mapInArrow(run, "kind int, part long, to int, blob binary, docs long, words long")
+    return keyed.mapInArrow(tidied(run), "kind int, part long, to int, blob binary, docs long, words long")
 
 
 def weighed(rows: DataFrame) -> DataFrame:
@@ -124,9 +135,8 @@ def weighed(rows: DataFrame) -> DataFrame:
         out = []
         for b, k, p in zip(blobs, kinds, parts, strict=True):
             if k >= 2:
-                n = len(b) // 16
-                t, q = np.frombuffer(b, "<u8", n), np.frombuffer(b, "<i8", n, 8 * n)
-                out.append((p, k - 2, np.stack([t.astype(np.int64), q, df[np.searchsorted(words, t)]]).tobytes()))
+                t, q, ids = np.frombuffer(b, "<i8").reshape(3, -1)
+                out.append((p, k - 2, np.stack([t, q, ids, df[np.searchsorted(words, t.view(np.uint64))]]).tobytes()))
         return pa.table({"part": pa.array([x[0] for x in out], pa.int64()), "grp": pa.array([x[1] for x in out], pa.int32()), "blob": pa.array([x[2] for x in out], pa.binary())})
 
     found = rows.where("kind >= 1").groupBy("to").applyInArrow(run, "part long, grp int, blob binary")
@@ -139,119 +149,182 @@ class Shard:
     def __init__(self, blob: bytes, mean: float):
         t = pa.ipc.open_stream(blob).read_all()
         get = lambda c, kind: np.frombuffer(t.column(c)[0].as_py(), kind)
-        self.term, df, self.doc, tf, size = get("term", "<u8"), get("df", "<u4"), get("doc", "<u4").astype(np.int64), get("tf", "<u4"), get("size", "<i8")
-        self.ids = t.column("id")[0].as_py()
+        self.term, df, doc, tf, size = get("term", "<u8"), get("df", "<u4"), get("doc", "<u4"), get("tf", "<u4"), get("size", "<i8")
         # a null id comes last among ties
-        self.id = np.array([2**63 - 1 if x is None else x for x in self.ids], np.int64)
+        self.id = np.array([LAST if x is None else x for x in t.column("id")[0].as_py()], np.int64)
+        self.doc = doc.astype(np.int32)
         tf = tf.astype(np.float64)
         self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[self.doc] / mean))
         self.start = np.concatenate([[0], np.cumsum(df, dtype=np.int64)])
-        # block entries: a term's postings within one block of documents
+        self.most = np.maximum.reduceat(self.impact, self.start[:-1]) if len(df) else np.zeros(0)
+        term = np.repeat(np.arange(len(df), dtype=np.int64), df)
+        self.key = term * len(size) + self.doc  # ascends
+        # block maxima, as a table of the terms that many blocks hold
         block = self.doc // BLOCK
-        term = np.repeat(np.arange(len(df)), df)
         new = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (term[1:] != term[:-1])])) if len(block) else np.zeros(0, np.int64)
-        self.entry_start = np.append(new, len(block))
-        self.entry_block = block[new]
-        self.entry_most = np.maximum.reduceat(self.impact, new) if len(new) else np.zeros(0)
-        self.term_entries = np.searchsorted(new, self.start)
         self.blocks = -(-len(size) // BLOCK)
-
-    def top(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best documents (their numbers) and scores. Terms ascend, so equal documents have equal sums."""
-        at = np.minimum(np.searchsorted(self.term, terms), max(0, len(self.term) - 1))
-        hit = self.term[at] == terms if len(self.term) else np.zeros(len(terms), bool)
-        at, idf = at[hit], idf[hit]
+        held = np.bincount(term[new], minlength=len(df))
+        wide = np.flatnonzero(4 * held >= self.blocks)
+        self.row = np.full(len(df), -1)
+        self.row[wide] = np.arange(len(wide))
+        self.table = np.zeros((len(wide), self.blocks), np.float32)
+        if len(new):
+            at = new[self.row[term[new]] >= 0]
+            best = np.maximum.reduceat(self.impact, new)[self.row[term[new]] >= 0]
+            self.table[self.row[term[at]], block[at]] = best * (1 + 1e-6)
+    def places(self, terms: np.ndarray) -> np.ndarray:
+        """Numbers of (ascending) terms in this shard, -1 for those that it lacks."""
+        if not len(self.term):
+            return np.full(len(terms), -1)
+        at = np.minimum(np.searchsorted(self.term, terms), len(self.term) - 1)
+        return np.where(self.term[at] == terms, at, -1)
+
+    def top(self, at: np.ndarray, idf: np.ndarray, k: int, floor: float = -1.0) -> tuple[np.ndarray, np.ndarray]:
+        """The k best documents (their numbers) and scores, all of those that reach the floor considered. at: places() of
+        the query's terms."""
         none = np.zeros(0, np.int64), np.zeros(0)
+        at, idf = at[(hit := at >= 0)], idf[hit]
         if not len(at):
             return none
-        lo, hi = self.term_entries[at], self.term_entries[at + 1]
-        n = hi - lo
-        entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-        weight = np.repeat(idf, n)
-        block = self.entry_block[entry]
-        bound = np.bincount(block, self.entry_most[entry] * weight, self.blocks) * (1 + 1e-9) + 1e-6
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 2e-6]
-        rank = np.full(self.blocks, self.blocks)
-        rank[order] = np.arange(len(order))
-        visit = rank[block]
-        by = np.argsort(visit, kind="stable")  # entries by visit, terms ascending within
-        visit_sorted = visit[by]
-        docs, scores, done, step = *none, 0, max(8, len(order) // 8)
-        while done < len(order):
-            kth = scores[k - 1] if len(scores) >= k else -1.0
-            if bound[order[done]] < kth:
-                break
-            upto = min(len(order), done + step)
-            if kth > 0:
-                upto = min(upto, done + int(np.searchsorted(-bound[order[done:upto]], -kth, side="right")))
-                upto = max(upto, done + 1)
-            a, b = np.searchsorted(visit_sorted, [done, upto])
-            e = np.sort(by[a:b])  # terms ascending
-            s, m = self.entry_start[entry[e]], self.entry_start[entry[e] + 1] - self.entry_start[entry[e]]
-            post = np.repeat(s - np.cumsum(m) + m, m) + np.arange(int(m.sum()))
-            got = np.bincount(self.doc[post], self.impact[post] * np.repeat(weight[e], m), len(self.id))
-            new = np.flatnonzero(got)
-            docs, scores = np.concatenate([docs, new]), np.concatenate([scores, np.round(got[new], 6)])
-            best = np.lexsort((self.id[docs], -scores))[:k]
-            docs, scores, done = docs[best], scores[best], upto
-        return docs, scores
+        bound = idf * self.most[at]
+        order = np.argsort(bound, kind="stable")
+        upto = np.cumsum(bound[order])
+        if upto[-1] < floor - SLACK:
+            return none
+        pivot = int(np.searchsorted(upto, PIVOT * floor - SLACK))
+        read, rest = np.sort(order[pivot:]), order[:pivot]
+        lists = list(map(slice, self.start[at[read]].tolist(), self.start[at[read] + 1].tolist()))
+        docs = np.concatenate([self.doc[x] for x in lists])
+        part = np.concatenate([self.impact[x] for x in lists])
+        part *= np.repeat(idf[read], self.start[at[read] + 1] - self.start[at[read]])
+        if 4 * len(docs) < len(self.id):
+            docs, place = np.unique(docs, return_inverse=True)
+            scores = np.bincount(place, part, len(docs))
+        else:
+            scores = np.bincount(docs, part, len(self.id))
+            docs = np.flatnonzero(scores)
+            scores = scores[docs]
+        if pivot:
+            docs, scores = docs[(keep := scores + upto[pivot - 1] >= floor - SLACK)], scores[keep]
+            row = self.row[at[rest]]
+            wide = row >= 0
+            most = idf[rest][wide].astype(np.float32) @ self.table[row[wide]] * (1 + 1e-5) + bound[rest][~wide].sum()
+            docs, scores = docs[(keep := scores + most[docs // BLOCK] >= floor - SLACK)], scores[keep]
+            # what the terms before the pivot add to the documents left
+            wanted = at[rest][:, None] * len(self.id) + docs
+            found = np.minimum(np.searchsorted(self.key, wanted), len(self.key) - 1)
+            scores = scores + (np.where(self.key[found] == wanted, self.impact[found], 0.0) * idf[rest][:, None]).sum(axis=0)
+        scores = np.round(scores, 6)
+        if len(docs) > k:
+            keep = scores >= np.partition(scores, len(docs) - k)[len(docs) - k]
+            docs, scores = docs[keep], scores[keep]
+        best = np.lexsort((self.id[docs], -scores))[:k]
+        return docs[best], scores[best]
+
+
+LAST = 2**63 - 1
+
+
+def _queries(blobs: list[bytes], n: int):
+    """(row, id, terms, idf) of each query of a group; terms ascend."""
+    flat = np.concatenate([np.frombuffer(b, "<i8").reshape(4, -1) for b in blobs], axis=1)
+    flat = flat[:, np.lexsort((flat[0].view(np.uint64), flat[1]))]
+    first = np.flatnonzero(np.concatenate([[True], flat[1, 1:] != flat[1, :-1]]))
+    idf = np.log1p((n - flat[3] + 0.5) / (flat[3] + 0.5))
+    terms = flat[0].view(np.uint64)
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), flat.shape[1]], strict=True):
+        yield int(flat[1, a]), int(flat[2, a]), terms[a:b], idf[a:b]
+
+
+def floors(index: DataFrame, queries: DataFrame, n: int, mean: float, k: int) -> DataFrame:
+    """(part, grp, words, blob): each group of queries with the k-th score of each in the shard that it comes from."""
+    both = index.select("part", F.lit(-1).alias("grp"), F.array("blob").alias("blobs")).unionByName(queries.select("part", "grp", "blobs"))
+
+    def run(table):
+        grps, blobs = table.column("grp").to_pylist(), table.column("blobs").to_pylist()
+        asked = sorted(j for j, g in enumerate(grps) if g >= 0)
+        out = []
+        if asked:
+            shard = Shard(blobs[grps.index(-1)][0], mean)
+        for j in asked:
+            rows, ids, words, idfs, lows = [], [], [], [], []
+            for row, id_, terms, idf in _queries(blobs[j], n):
+                _, scores = shard.top(shard.places(terms), idf, k)
+                rows.append(row)
+                ids.append(id_)
+                words.append(terms)
+                idfs.append(idf)
+                lows.append(scores[k - 1] if len(scores) == k else -1.0)
+            sink = pa.BufferOutputStream()
+            own = pa.table({"row": pa.array(rows, pa.int64()), "id": pa.array(ids, pa.int64()), "low": pa.array(lows, pa.float64()), "terms": pa.array([w.tobytes() for w in words], pa.binary()), "idf": pa.array([w.tobytes() for w in idfs], pa.binary())})
+            with pa.ipc.new_stream(sink, own.schema) as w:
+                w.write_table(own)
+            out.append((table.column("part")[0].as_py(), grps[j], sum(map(len, words)), sink.getvalue().to_pybytes()))
+        cols = list(zip(*out, strict=True)) or [()] * 4
+        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["part", "grp", "words", "blob"])
+
+    return both.groupBy("part").applyInArrow(run, "part long, grp int, words long, blob binary")
 
 
 def top_k(docs: DataFrame, is_query: Column, k: int) -> DataFrame:
     """query_id, rank, doc_id, score."""
     spark = docs.sparkSession
     sc = spark.sparkContext
-    bits = min(14, max(6, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length()))
-    rows = written(shards(docs, is_query, bits), "op10-shards")
-    index = rows.where("kind = 0").select("blob")
+    rows = written(shards(docs, is_query, hash_bits(docs, 6, 1)), "op10-shards")
+    index = rows.where("kind = 0").select("part", "blob")
     total = rows.where("kind = 0").agg(F.sum("docs").alias("n"), F.sum("words").alias("w")).first()
     n, mean = total["n"] or 0, (total["w"] or 0) / max(1, total["n"] or 0) or 1.0
-    queries = written(weighed(rows), "op10-queries")
-    sized = queries.select("part", "grp", (F.aggregate(F.transform("blobs", F.length), F.lit(0).cast("long"), lambda a, x: a + x) / 24).cast("long").alias("words")).orderBy("part", "grp").collect()  # a row for each group of queries
+    weights = written(weighed(rows), "op10-weights")
+    queries = written(floors(index, weights, n, mean, k), "op10-queries")
+    discard(weights)
     turns: list[list] = []
     held = 0
-    for r in sized:
+    for r in queries.select("part", "grp", "words").orderBy("part", "grp").collect():  # a row for each group of queries
         if not turns or held + r["words"] > QUERY_WORDS:
             turns.append([])
             held = 0
         turns[-1].append((r["part"], r["grp"]))
         held += r["words"]
-    schema = "query_id long, doc_id long, score double"
+    schema = "row long, query_id long, doc_id long, score double"
     found = None
     for turn in turns:
-        wanted = F.lit(False)
-        for part, g in turn:
-            wanted = wanted | ((F.col("part") == part) & (F.col("grp") == g))
-        flat = [np.frombuffer(bytes(b), "<i8").reshape(3, -1) for r in queries.where(wanted).select("blobs").collect() for b in r["blobs"]]  # at most QUERY_WORDS words and one group
-        flat = np.concatenate(flat, axis=1)
-        flat = flat[:, np.lexsort((flat[0].astype(np.uint64), flat[1]))]
-        idf = np.log1p((n - flat[2] + 0.5) / (flat[2] + 0.5))
-        shared = sc.broadcast((flat[1], flat[0].astype(np.uint64), idf))
+        wanted = spark.createDataFrame(turn, "part long, grp int")
+        shared = sc.broadcast([bytes(r["blob"]) for r in queries.join(F.broadcast(wanted), ["part", "grp"]).select("blob").collect()])  # at most QUERY_WORDS words and one group
 
         def ask(batches):
-            owner, terms, idf = shared.value
-            first = np.flatnonzero(np.diff(owner, prepend=owner[0] - 1))
-            ends = np.append(first[1:], len(owner))
+            asked = pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in shared.value])
+            rows, ids, lows = (asked.column(c).to_pylist() for c in ("row", "id", "low"))
+            idfs = [np.frombuffer(x, "<f8") for x in asked.column("idf").to_pylist()]
+            lists = [np.frombuffer(x, "<u8") for x in asked.column("terms").to_pylist()]
+            words, of = np.unique(np.concatenate(lists), return_inverse=True)
+            ends = np.cumsum([0, *map(len, lists)]).tolist()
             best: dict[int, tuple] = {}
             for batch in batches:
                 for blob in batch.column("blob").to_pylist():
                     shard = Shard(blob, mean)
-                    for a, b in zip(first.tolist(), ends.tolist(), strict=True):
-                        d, s = shard.top(terms[a:b], idf[a:b], k)
+                    at = shard.places(words)
+                    for j, (row, low) in enumerate(zip(rows, lows, strict=True)):
+                        old = best.get(row)
+                        if old is not None and len(old[2]) == k:
+                            low = max(low, old[2][-1])
+                        d, s = shard.top(at[of[ends[j] : ends[j + 1]]], idfs[j], k, low)
                         if len(d):
-                            old = best.get(a, (np.zeros(0, np.int64), np.zeros(0)))
-                            i, s = np.concatenate([old[0], shard.id[d]]), np.concatenate([old[1], s])
-                            keep = np.lexsort((i, -s))[:k]
-                            best[a] = i[keep], s[keep]
-            for a, (i, s) in best.items():
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), owner[a])), pa.array(i, mask=i == 2**63 - 1), pa.array(s)], names=["query_id", "doc_id", "score"])
-
-        part = written(index.mapInArrow(ask, schema), "op10-found")
+                            i = shard.id[d]
+                            if old is not None:
+                                i, s = np.concatenate([old[1], i]), np.concatenate([old[2], s])
+                                keep = np.lexsort((i, -s))[:k]
+                                i, s = i[keep], s[keep]
+                            best[row] = ids[j], i, s
+            for row, (id_, i, s) in best.items():
+                yield pa.RecordBatch.from_arrays([pa.array([row] * len(i), pa.int64()), pa.array([id_] * len(i), pa.int64()), pa.array(i, mask=i == LAST), pa.array(s)], names=["row", "query_id", "doc_id", "score"])
+
+        part = written(index.select("blob").mapInArrow(tidied(ask), schema), "op10-found")
         found = part if found is None else found.unionByName(part)
+        shared.unpersist()
     if found is None:
         found = spark.createDataFrame([], schema)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))
+    discard(rows, queries)
+    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 
 
