@@ -62,6 +62,39 @@ def test_mixing_shares_shortage_among_siblings_first(spark):
     assert got == {"a": 5, "b": 27, "c": 27}
 
 
+def plain_shares(budget, nodes):
+    """name -> (cap, weight) -> what each gets, by filling children one after the other until none overflows."""
+    left, open_, out = budget, dict(nodes), {}
+    while open_:
+        total = sum(w for _, w in open_.values())
+        full = [n for n, (cap, w) in open_.items() if cap * total <= w * left]
+        if not full:
+            out |= {n: w * left // total for n, (_, w) in open_.items()}
+            break
+        for n in full:
+            out[n] = open_.pop(n)[0]
+        left = budget - sum(out.values())
+    return out
+
+
+def test_mixing_equals_plain_water_filling(spark):
+    import random
+
+    rng = random.Random(4)
+    for case in range(4):
+        nodes = {f"n{k:02}": (rng.choice([0, 3, 10, 10**6, 3 * 10**12, 3 * 10**12 + 1]), 1) for k in range(9)}
+        budget = rng.choice([17, 3 * 10**6, 7 * 10**12])
+        frame = spark.createDataFrame([(n, cap, budget) for n, (cap, _) in nodes.items()], "domain string, cap long, budget long").selectExpr("domain", "cast(cap as decimal(19,0)) cap", "cast(budget as decimal(19,0)) budget")
+        got = {r["domain"]: int(r["budget"]) for r in mixing.share_out(frame, [], F.lit(1).cast("decimal(18,0)")).collect()}
+        assert got == plain_shares(budget, nodes), case
+
+
+def test_mixing_bears_long_source_numbers(spark):
+    rows = [(1, "a b", "en", "src20240101123456"), (2, "a b", "en", "src99999999999999999999"), (3, "c", "en", "web")]
+    got = mixing.choose(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), mixing.Mix(share=(1, 1), max_epochs=1)).collect()
+    assert {r["doc_id"]: r["domain"] for r in got} == {1: "d0", 2: "d3", 3: ""}
+
+
 def test_mixing_rough(spark):
     mix = mixing.Mix(share=(1, 1), max_epochs=1)
     got = mixing.mix_documents(docs(spark), mix)
@@ -95,11 +128,31 @@ def test_jaccard_frequent_classes(spark, monkeypatch):
         for j in range(k % 6):
             w[(7 * k + 11 * j) % len(w)] = f"edit{k}_{j}"
         rows.append((100 + k, " ".join(w)))
-    for percent, k_words in ((85, 4), (80, 5), (60, 2)):
+    monkeypatch.setattr(jaccard, "ORDINARY", 16)
+    for percent, k_words, chained in ((85, 4, 1 << 14), (80, 5, 3), (60, 2, 1)):
+        monkeypatch.setattr(jaccard, "CHAINED", chained)
         got = rows_of(jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), k_words, percent))
         assert got == near(rows, k_words, percent), (percent, k_words)
 
 
+def test_sets_of_one_key_are_told_apart(spark):
+    """Sets that share their 64-bit key stay different sets."""
+    every = spark.createDataFrame([(1, 5, 7, 1, 70), (2, 5, 7, 1, 70), (3, 5, 7, 2, 71), (4, 5, 8, 3, 72), (5, 0, 0, 0, 0)], "doc_id long, n long, set_key long, check long, spare long")
+    got = {r["doc_id"]: r["set_key"] for r in jaccard.told_apart(every).collect()}
+    assert got == {1: 70, 2: 70, 3: 71, 4: 8, 5: 0}
+
+
+@pytest.mark.parametrize("held", [1 << 20, 50])
+def test_components_of_chains_hubs_and_repeated_edges(spark, monkeypatch, held):
+    from weftline.llm import graph
+
+    monkeypatch.setattr(graph, "HELD", held)
+    edges = [(k, k + 1) for k in range(100, 160)] + [(500, k) for k in range(501, 900)] + [(1, 1), (None, 3), (7, 3), (3, 7), (7, 3), (9, 7)]
+    got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "u long, v long").repartition(7)).collect()}
+    assert got == {k: 100 for k in range(100, 161)} | {k: 500 for k in range(500, 900)} | {3: 3, 7: 3, 9: 3}
+    assert graph.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
 def test_suffix_dedup(spark):
     rough = [(d, t) for d, t, _, _ in ROWS]
     assert rows_of(suffixes.op6_suffix(spark, DATA)) == repeat_rows(pairs_of(spark))
@@ -112,8 +165,10 @@ def test_suffix_dedup(spark):
 
 
 def test_suffix_family_of_batches(spark, monkeypatch):
-    """Batches one after the other give what all at once give; long texts run in overlapping slices."""
+    """Batches one after the other give what all at once give; long texts run in overlapping slices; heads that more
+    than a few regions share deal their windows by hash."""
     monkeypatch.setattr(suffixes, "BLOCK", 3000)
+    monkeypatch.setattr(suffixes, "HOT", 2)
     rows = pairs_of(spark)[:90] + [(1000 + d, t) for d, t, _, _ in ROWS if d is not None]
     family = suffixes.Family(spark)
     for k in range(3):
@@ -123,16 +178,31 @@ def test_suffix_family_of_batches(spark, monkeypatch):
         family.add(none(spark))
 
 
-def test_levels_stay_logarithmic():
+def test_levels_stay_logarithmic_and_old_ones_as_they_are(spark):
+    """After n batches the levels hold the binary digits of n, in byte order; a batch rewrites none but those it merges with."""
     import numpy as np
 
-    levels = suffixes.Levels()
-    for k in range(100):
-        run = np.zeros(10, suffixes.ENTRY)
-        run["token"] = np.sort(np.random.default_rng(k).integers(0, 1 << 40, 10))
-        levels.add(run)
-    assert len(levels.runs) <= 8 and len(levels.all()) == 1000
-    assert (np.diff(levels.all()["token"].astype(np.int64)) >= 0).all()
+    rows = pairs_of(spark)[:70]
+    family, stored = suffixes.Family(spark, bits=6), {}
+    for k in range(7):
+        family.add(spark.createDataFrame(rows[k::7], "doc_id long, text string"))
+        assert family.sizes == [2**d for d in range(3, -1, -1) if (k + 1) >> d & 1]
+        now = {path: sorted((r["id"], bytes(r["blob"])) for r in level.collect()) for level, path in family.levels}
+        assert all(now[path] == blobs for path, blobs in stored.items() if path in now)
+        kept = sum(path in now for path in stored)
+        assert kept == len(family.sizes) - 1
+        stored = now
+    for blobs in stored.values():
+        for _, blob in blobs:
+            run = suffixes.loaded(blob)
+            assert (run["head"][1:] >= run["head"][:-1]).all()
+    family.add(spark.createDataFrame([], "doc_id long, text string"), last=True)
+    assert rows_of(family.cut()) == repeat_rows(rows)
+    new, old = np.zeros(2, suffixes.ENTRY), np.zeros(1000, suffixes.ENTRY)
+    new["head"], old["head"] = [b"b", b"d"], np.sort(np.array([b"a", b"b", b"c", b"e"] * 250))
+    old["region"], new["region"] = np.arange(1000), [300, 5]
+    said, status = suffixes.scan(new, [old])
+    assert len(said) == 251 and set(said["head"]) == {b"b"} and (status[said["region"] == 300] & suffixes.REPEATED).sum() >= 1
 
 
 def test_search_rough(spark, monkeypatch):
@@ -157,6 +227,42 @@ def test_search_rough(spark, monkeypatch):
     assert search.top_k(none(spark), F.col("doc_id") % 100 == 0, 5).count() == 0
 
 
+def test_rows_of_one_query_id_are_queries_of_their_own(spark):
+    rows = [(100, "a b c"), (100, "a x"), (1, "a b"), (2, "x y"), (2, "x y")]
+    got = search.top_k(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), F.col("doc_id") % 100 == 0, 9).collect()
+    assert all(r["query_id"] == 100 for r in got) and len(got) == 3 + 5
+    by = collections.Counter((r["doc_id"], r["score"]) for r in got)
+    parts = search.top_k(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), F.col("doc_id") % 100 == 0, 9).collect()
+    assert by == collections.Counter((r["doc_id"], r["score"]) for r in parts)
+    assert sorted(r["rank"] for r in got) == sorted([1, 2, 3, 1, 2, 3, 4, 5])
+
+
+def test_floors_prune_without_loss():
+    """Random shards and queries: any floor at or under the k-th score gives the same best documents."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    for case in range(12):
+        docs = [np.unique(rng.zipf(1.3, rng.integers(1, 60)) % 500, return_counts=True) for _ in range(700)]
+        flat = np.concatenate([t for t, _ in docs]).astype(np.uint64)
+        tf, doc = np.concatenate([c for _, c in docs]), np.repeat(np.arange(700), [len(t) for t, _ in docs])
+        by = np.argsort(flat, kind="stable")
+        words, df = np.unique(flat, return_counts=True)
+        t = pa.table({"term": [words.astype("<u8").tobytes()], "df": [df.astype("<u4").tobytes()], "doc": [doc[by].astype("<u4").tobytes()], "tf": [tf[by].astype("<u4").tobytes()], "size": [np.array([c.sum() for _, c in docs], "<i8").tobytes()], "id": [list(range(700))]})
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, t.schema) as w:
+            w.write_table(t)
+        shard = search.Shard(sink.getvalue().to_pybytes(), 20.0)
+        ask = docs[case][0].astype(np.uint64)
+        idf = np.log1p((700 - df[np.searchsorted(words, ask)] + 0.5) / (df[np.searchsorted(words, ask)] + 0.5))
+        full, scores = shard.top(shard.places(ask), idf, 10)
+        for low in (scores[-1], scores[-1] * 0.7, scores[-1] * 0.2, 1e-3):
+            d, s = shard.top(shard.places(ask), idf, 10, low)
+            assert d.tolist() == full.tolist() and s.tolist() == scores.tolist()
+        assert len(shard.top(shard.places(ask), idf, 10, 1e3)[0]) == 0
+
+
 def test_search_shards_and_query_blocks(spark, monkeypatch):
     whole = rows_of(search.op10_search(spark, DATA))
     monkeypatch.setattr(search, "POSTINGS", 2000)

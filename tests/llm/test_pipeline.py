@@ -8,7 +8,7 @@ import duckdb
 import numpy as np
 from plain import language, near, profiles, repeats
 from pyspark.sql import functions as F
-from rough import docs, none
+from rough import CLASHING, docs, none
 
 from weftline.llm import mixing
 from weftline.llm.common import written
@@ -72,6 +72,9 @@ def test_stages_bear_rough_rows(spark):
         rows = written(stage(spark, rows, DATA), "test")
         if name != "packing":
             assert rows.columns == docs(spark).columns
+            assert rows.dtypes == docs(spark).dtypes
+            own = [c for c in CLASHING if c != "n_chars"]
+            assert rows.count() == rows.where(" AND ".join(f"`{c}` = 'own {c}'" for c in own)).count() > 0
     assert rows.count() > 0
     rows = none(spark).withColumn("n_chars", F.lit(0).cast("long"))
     for _, stage in corpus_pipeline.STAGES:
@@ -83,4 +86,11 @@ def test_repeats_keep_what_is_left(spark):
     common = " ".join(hashlib.sha256(str(k).encode()).hexdigest()[:7] for k in range(70))
     rows = [(1, f"alpha {common} omega", "en", "src1", 0), (2, f"beta {common} psi", "en", "src1", 0), (3, "gamma", "en", "src1", 0)]
     got = {r["doc_id"]: r["text"] for r in corpus_pipeline.cut_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), DATA).collect()}
-    assert got == {1: "alphaomega", 2: "betapsi", 3: "gamma"}
+    assert got == {d: body.decode() for d, body, _ in repeats([r[:2] for r in rows])}
+    assert got[3] == "gamma" and all(common not in text for text in got.values())
+
+
+def test_runs_beside_each_other(spark):
+    first = corpus_pipeline.run(spark, DATA)
+    second = corpus_pipeline.run(spark, DATA)
+    assert sorted(first.drop("sequence_id", "offset").collect()) == sorted(second.drop("sequence_id", "offset").collect())

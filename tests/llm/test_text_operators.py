@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -72,12 +73,16 @@ def test_long_texts_count_in_chunks(monkeypatch):
 
 
 def test_media_round_trip(spark):
-    stored = media.to_audio(docs(spark))
+    made = media.to_audio(docs(spark))
+    stored = media.stored(made)
+    assert sorted(map(tuple, stored.collect()), key=repr) == sorted(map(tuple, made.collect()), key=repr)
     raw = {(r["doc_id"], bytes(r["media"])) for r in stored.collect()}
     for doc_id, blob in raw:
         _, payload = media.samples(blob)
         assert len(payload) % 64 == 0 and len(payload) > 0
-    got = media.feature_text(media.audio_features(stored)).collect()
+    kept = media.store_features(stored, scratch(spark, "tensors"))
+    got = media.feature_text(kept).collect()
+    assert sorted(map(tuple, media.described(stored).collect()), key=repr) == sorted(map(tuple, got), key=repr)
     assert len(got) == len(ROWS)
     by_text = {}
     for r in got:
@@ -105,6 +110,62 @@ def test_resampling_is_a_convolution():
     assert np.allclose(parts, y, atol=1e-6)
 
 
+def plain_feature(payload, p):
+    """Frames, band means and active spans of a payload, from their definitions in double precision."""
+    n = p.taps * p.up
+    at = np.arange(n) - (n - 1) / 2
+    low = np.sinc(at / max(p.up, p.down)) * np.hamming(n)
+    low *= p.up / low.sum()
+    x = np.zeros(len(payload) * p.up)
+    x[:: p.up] = (np.frombuffer(payload, np.uint8).astype(float) - 128) / 128
+    full = np.concatenate([np.convolve(x, low), np.zeros(p.taps * p.up + p.down)])
+    y = [full[k * p.down + p.up * (p.taps - 1 - p.taps // 2)] for k in range(-(-len(payload) * p.up // p.down))]
+    rate, bins = p.rate * p.up / p.down, p.window // 2 + 1
+    frames = max(1, -(-max(0, len(y) - p.window) // p.hop) + 1)
+    y = np.concatenate([y, np.zeros(frames * p.hop + p.window)])
+    mel = lambda f: 2595 * math.log10(1 + f / 700)
+    edges = [mel(rate / 2) * k / (p.mels + 1) for k in range(p.mels + 2)]
+    bands, energy = [], []
+    turn = np.exp(-2j * np.pi * np.outer(np.arange(bins), np.arange(p.window)) / p.window)
+    for f in range(frames):
+        cut = y[f * p.hop : f * p.hop + p.window] * [0.5 - 0.5 * math.cos(2 * math.pi * k / (p.window - 1)) for k in range(p.window)]
+        power = abs(turn @ cut) ** 2
+        row = []
+        for a, b, c in zip(edges, edges[1:], edges[2:]):
+            total = 0.0
+            for k in range(bins):
+                m = mel(k * rate / p.window)
+                total += power[k] * max(0.0, min((m - a) / (b - a), (c - m) / (c - b)))
+            row.append(10 * math.log10(total + 1e-6))
+        bands.append(row)
+        energy.append(10 * math.log10((cut * cut).mean() + 1e-9))
+    spans, begun = [], None
+    for f, e in enumerate(energy):
+        if begun is None and e - max(energy) >= p.on_db:
+            begun = f
+        if begun is not None and e - max(energy) < p.off_db:
+            spans.append((begun, f - 1))
+            begun = None
+    spans += [(begun, frames - 1)] if begun is not None else []
+    return frames, np.mean(bands, axis=0), [(a * p.hop / rate, (b * p.hop + p.window) / rate) for a, b in spans]
+
+
+def test_features_equal_plain_ones(spark):
+    texts = [(1, "quiet"), (2, "a loud text " * 90), (3, "~" * 900 + " " * 900 + "zebra" * 300), (4, None)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    p = media.Audio()
+    got = {r["doc_id"]: r["feature"] for r in media.described(media.to_audio(rows)).collect()}
+    for d, text in texts:
+        body = (text or "").encode()
+        body += b"\0" * (-len(body) % 64 or (64 if not body else 0))
+        frames, bands, spans = plain_feature(body, p)
+        told = dict(x.split("=") for x in got[d].split(";"))
+        assert int(told["frames"]) == frames and int(told["tiles"]) == -(-frames // p.tile)
+        assert np.allclose([float(x) for x in told["log_mel"].split(",")], bands, atol=0.06)
+        said = ",".join(f"{a:.2f}-{b:.2f}" for a, b in spans)
+        assert told["segments"] == f"{len(spans)}:{zlib.crc32(said.encode()):08x}"
+
+
 def test_hysteresis_and_tensors():
     p = media.Audio()
     energy = np.array([-60, -10, -15, -13, -17, -30, -15, 0, -60.0])
@@ -140,6 +201,36 @@ def test_token_files(spark, library, documents):
     assert token_orc.digest(spark, empty).count() == 0
 
 
+def test_stripes_and_bloom_filters_let_a_lookup_skip(spark, monkeypatch):
+    """Several stripes, Bloom filters on doc_id in each, and a reader that is given an id reads a row group of all rows."""
+    monkeypatch.setattr(token_orc, "STRIPE", 1 << 12)
+    path = scratch(spark, "orc")
+    rows = spark.range(0, 24_000, 2).selectExpr("id + 8589934592 AS doc_id", "concat('w', id) AS text").coalesce(1)
+    monkeypatch.setattr(type(rows), "repartitionByRange", lambda self, *_: self)  # one file
+    token_orc.write_ids(rows, path)
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    file = next(f for f in os.listdir(path) if f.endswith(".orc"))
+    orc = jvm.org.apache.orc.OrcFile
+    reader = orc.createReader(jvm.org.apache.hadoop.fs.Path(f"{path}/{file}"), orc.readerOptions(spark._jsc.hadoopConfiguration()))
+    stripes = list(reader.getStripes())
+    assert len(stripes) > 1 and reader.getRowIndexStride() == token_orc.ROWS
+    records = reader.rows()
+    for stripe in stripes:
+        assert any(x.getKind().name().startswith("BLOOM_FILTER") for x in records.readStripeFooter(stripe).getStreamsList())
+
+    def read(doc_id):
+        leaf = jvm.org.apache.hadoop.hive.ql.io.sarg
+        sarg = leaf.SearchArgumentFactory.newBuilder().startAnd().equals("doc_id", getattr(leaf, "PredicateLeaf$Type").LONG, 8589934592 + doc_id).end().build()
+        names = gateway.new_array(jvm.java.lang.String, 1)
+        names[0] = "doc_id"
+        got, batch, n = reader.rows(reader.options().searchArgument(sarg, names)), reader.getSchema().createRowBatch(), 0
+        while got.nextBatch(batch):
+            n += batch.count()
+        return n
+
+    assert 0 < read(6000) <= 2 * token_orc.ROWS < 12_000 and read(6001) <= token_orc.ROWS
+
+
 def test_plan_fills_best_fit():
     rng = np.random.default_rng(3)
     counts = Counter(rng.integers(1, 65, 3000).tolist())
@@ -222,8 +313,9 @@ def test_recurrent_model_gradients_and_state():
 
     shape = gru.Shape(words=7, tails=3, hidden=4, per_class=3)
     rng = np.random.default_rng(0)
-    p = {k: v.astype(np.float64) for k, v in gru.initial(shape, np.arange(1.0, 11.0)).items()}
-    x, y = rng.integers(0, 10, (5, 2)), rng.integers(0, 10, (5, 2))
+    p = {k: v.astype(np.float64) for k, v in gru.initial(shape, np.arange(1.0, shape.symbols + 1)).items()}
+    n = shape.symbols
+    x, y = rng.integers(0, n, (5, 2)), rng.integers(0, n, (5, 2))
     x[0] = shape.symbols
 
     def value(p):
@@ -244,10 +336,80 @@ def test_recurrent_model_gradients_and_state():
             down = value(p)
             flat[i] = old
             assert math.isclose((up - down) / 2e-3, grad[k].reshape(-1)[i], abs_tol=2e-3), k
-    texts = [rng.integers(0, 10, n) for n in (1, 40, 3, 90)]
+    texts = [rng.integers(0, n, m).astype(np.uint16) for m in (1, 40, 0, 3, 90)]
     p = {k: v.astype(np.float32) for k, v in p.items()}
     a, b = gru.score(p, shape, texts, n=3, window=4), gru.score(p, shape, texts, n=1, window=64)
     assert np.allclose(a, b, atol=1e-3)
     # all symbols after a state sum to one
-    state = np.tile(rng.standard_normal((1, 4)).astype(np.float32), (10, 1))
-    assert math.isclose(np.exp(gru.outputs(p, shape, state, np.arange(10))[0]).sum(), 1, abs_tol=1e-4)
+    state = np.tile(rng.standard_normal((1, 4)).astype(np.float32), (n, 1))
+    assert math.isclose(np.exp(gru.outputs(p, shape, state, np.arange(n))[0]).sum(), 1, abs_tol=1e-4)
+
+
+def plain_log(p, shape, text):
+    """A text's log probability, token by token and in plain Python loops."""
+    h, size, total, x = np.zeros(shape.hidden), shape.hidden, 0.0, shape.symbols
+    for y in text:
+        a, g = h @ p["u"], p["x"][x]
+        r, z = (1 / (1 + np.exp(-(g[k * size : (k + 1) * size] + a[k * size : (k + 1) * size]))) for k in (0, 1))
+        c = np.tanh(g[2 * size :] + r * a[2 * size :])
+        h = (1 - z) * c + z * h
+        k, member = divmod(int(y), shape.per_class)
+        for logits, at in ((h @ p["c"] + p["cb"], k), (h @ p["w"][k] + p["wb"][k], member)):
+            total += logits[at] - np.log(np.exp(logits).sum())
+        x = int(y)
+    return total
+
+
+def test_scores_equal_a_plain_forward_pass():
+    from weftline.llm import gru
+
+    shape = gru.Shape(words=40, tails=6)
+    rng = np.random.default_rng(1)
+    p = gru.initial(shape, rng.integers(0, 50, shape.symbols).astype(float))
+    texts = [rng.integers(0, shape.symbols, n).astype(np.uint16) for n in (0, 1, 7, 33, 150, 2)]
+    trainer = gru.Trainer(p, shape)
+    assert trainer.run(texts, n=3, window=8) == sum(map(len, texts))
+    got = gru.score(trainer.p, shape, texts, n=4, window=16)
+    wide = {k: v.astype(np.float64) for k, v in trainer.p.items()}
+    assert np.allclose(got, [plain_log(wide, shape, t) for t in texts], rtol=1e-4, atol=1e-3)
+
+
+def test_words_of_a_member_share_it_whole(spark, monkeypatch):
+    """What the words of a tail member, and the unseen type of a shape, have of it sums to one."""
+    monkeypatch.setattr(scoring, "FREQUENT", 20)
+    rows = spark.createDataFrame([(k, " ".join(f"w{i % (k + 3)} x{i}" for i in range(40))) for k in range(30)], "doc_id long, text string")
+    bits = 7
+    counts = scoring.counted(scoring.numbered(rows, F.lit(False), bits)).cache()
+    c = scoring.corpus(counts, 30)
+    words = {}
+    for r in scoring.numbered(rows, F.lit(False), bits).where("to >= 0").collect():
+        for w, n, shape in zip(*scoring._words(bytes(r["blob"])), strict=True):
+            words.setdefault(int(w), [0, int(shape)])[0] += int(n)
+    top = set(c.words.tolist())
+    tail = np.array([(w, n, s) for w, (n, s) in words.items() if w not in top], np.uint64).reshape(-1, 3)
+    member = scoring._member(tail[:, 0], tail[:, 1].astype(np.int64), tail[:, 2].astype(np.int64))
+    share = 10 ** c.within(tail[:, 1].astype(np.int64), member)
+    unseen = np.arange(scoring.SHAPES) * scoring.MEMBERS
+    assert len(member) > 20
+    total = np.bincount(member, share, scoring.TAILS * scoring.MEMBERS)
+    total[unseen] += 10 ** c.within(np.zeros(len(unseen), np.int64), unseen)
+    assert np.allclose(total[(total > 0)][np.isin(np.flatnonzero(total > 0), member)], 1)
+
+
+def test_one_very_long_text_costs_its_own_length():
+    """A million symbols among a thousand short texts: what is held stays far under lanes times the longest."""
+    import tracemalloc
+
+    from weftline.llm import gru
+
+    shape = gru.Shape(words=20, tails=2)
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(0, 20, 60).astype(np.uint16) for _ in range(1000)] + [rng.integers(0, 20, 1_000_000).astype(np.uint16)]
+    lanes = gru.Lanes(texts, 256, shape.symbols)
+    tracemalloc.start()
+    seen = sum(int(ok.sum()) for *_, ok in lanes.windows(512))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == sum(map(len, texts)) and peak < 30e6
+    p = gru.initial(shape, np.ones(shape.symbols))
+    assert gru.Trainer(p, shape).run([t[:100_000] for t in texts], window=64) == 60_000 + 100_000
