@@ -304,6 +304,9 @@ def test_scoring_rough(spark):
     assert len(got) == len(ROWS) and all(math.isfinite(r["score"]) for r in got)
     assert {(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got} == base_rows([(d, t) for d, t, _, _ in ROWS])
     assert scoring.lm_scores(none(spark), fold_of(F.col("doc_id"), 7) == 2).count() == 0
+    # more parts than models that reach the driver: a tree of means
+    many = scoring.lm_scores(docs(spark).repartition(24), fold_of(F.col("doc_id"), 7) == 2).collect()
+    assert base_rows([(d, t) for d, t, _, _ in ROWS]) == {(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in many}
     untrained = scoring.lm_scores(docs(spark), F.lit(True)).collect()
     assert all(r["train_tokens"] == r["n_known"] == 0 and math.isfinite(r["score"]) for r in untrained)
 

@@ -3,16 +3,17 @@
 1. Words (runs of other bytes than ASCII blanks, A-Z lower-cased) are 64-bit hashes. A task numbers its own
    distinct words, keeps its texts as these numbers and sends each word with its training count to the word's
    hash range; the corpus counts come back, for exactly the words that the task has. No dictionary is broadcast.
-2. The most frequent words (a fixed number) and tail classes (by count and by the word's last two bytes) are
-   the model's symbols. Within a tail class a word has its share of the class's training tokens; words seen
-   once and unseen ones share a class by Good-Turing masses, where all unseen words are one type.
+2. The most frequent words (FREQUENT, a parameter of the model) have symbols of their own. All others belong to
+   tail classes (by count and by the word's last two bytes), whose MEMBERS, dealt by the word's hash, are symbols
+   too: class and member both depend on the state. What a member's words share is fixed by their training counts.
+   Words seen once and unseen ones share a member by Good-Turing masses, where its unseen words are one type.
 3. The model starts from the corpus's unigram counts, is trained on one part as a common start, then every
    task trains it on all its own training texts, and the weighted mean of the parameters is the model.
 4. Every text is scored whole; the recurrent state is carried from window to window.
 
 Cases: a null text is an empty one (its end is its only token); a null doc_id counts as the empty text for its
 fold; repeated rows are scored each; without training rows all counts are 0; an empty table gives no rows;
-other columns are ignored.
+other columns are ignored. A text of any length is scored whole: it costs two bytes a token and a window of states.
 """
 
 from __future__ import annotations
@@ -24,19 +25,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import bytehash, gru
-from weftline.llm.common import discard, fold_of, texts, written
+from weftline.llm.common import by_size, discard, fold_of, hash_bits, texts, tidied, written
 
 U = np.uint64
-#: Words with an output of their own (the end is one more); tokens that a task packs at once.
-FREQUENT, PACKED = 1023, 1 << 22
-#: Tail classes: from these counts on, times SHAPES classes by last bytes. The first holds the unseen, too.
-BANDS, SHAPES = (0, 2, 4, 16, 256), 16
+#: Words with an output of their own (the end is one more); tokens that a task packs at once; bytes of symbols in lanes at once.
+FREQUENT, PACKED, LANES = 1023, 1 << 21, 1 << 22
+#: Tail classes: from these counts on, times SHAPES classes by last bytes. The first holds the unseen, too, in one member.
+BANDS, SHAPES, MEMBERS = (0, 2, 4, 16, 256), 8, 32
 TAILS = len(BANDS) * SHAPES
-MEANS = 16
+#: Models that reach the driver at most; models that a task averages at once.
+MEANS, FAN = 16, 32
 
 
-def _tail(count: np.ndarray, shape: np.ndarray) -> np.ndarray:
-    return (np.searchsorted(BANDS, count, side="right") - 1) * SHAPES + shape
+def _member(word: np.ndarray, count: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    """Number of the tail class's member that a word belongs to."""
+    tail = (np.searchsorted(BANDS, count, side="right") - 1) * SHAPES + shape
+    return tail * MEMBERS + np.where(count >= BANDS[1], (word.astype(np.uint64) >> U(20)).astype(np.int64) % MEMBERS, 0)
 
 
 def numbered(docs: DataFrame, train_fold, bits: int) -> DataFrame:
@@ -95,7 +99,7 @@ def numbered(docs: DataFrame, train_fold, bits: int) -> DataFrame:
             yield flush()
 
     keyed = texts(docs).withColumn("held_out", train_fold)
-    return keyed.mapInArrow(run, "to int, part long, blob binary")
+    return keyed.mapInArrow(tidied(run), "to int, part long, blob binary")
 
 
 def _words(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -118,8 +122,8 @@ def counted(parts: DataFrame) -> DataFrame:
         best = np.lexsort((words, -count))[:FREQUENT]
         best = best[count[best] > 0]
         rows.append((1, 0, np.stack([words[best].astype(np.int64), count[best], shape[best].astype(np.int64)], axis=1).astype("<i8").tobytes()))
-        tail = _tail(count, shape)
-        sums = np.stack([np.bincount(tail, count > 0, TAILS), np.bincount(tail, count, TAILS), np.bincount(shape, count == 2, TAILS)], axis=1)
+        tail, n = _member(words, count, shape), TAILS * MEMBERS
+        sums = np.stack([np.bincount(tail, count > 0, n), np.bincount(tail, count, n), np.bincount(shape.astype(np.int64) * MEMBERS, count == 2, n)], axis=1)
         rows.append((2, 0, sums.astype("<i8").tobytes()))
         return pa.table({"kind": pa.array([r[0] for r in rows], pa.int32()), "part": pa.array([r[1] for r in rows], pa.int64()), "to": pa.array([key[0].as_py()] * len(rows), pa.int32()), "blob": pa.array([r[2] for r in rows], pa.binary())})
 
@@ -140,19 +144,26 @@ class Corpus:
         self.distinct = int(sums[:, 0].sum()) + (train_docs > 0)
         self.end_count = train_docs
         sums = sums.copy()
-        tail = _tail(top[:, 1], top[:, 2])
+        tail = _member(words, top[:, 1], top[:, 2])
         np.subtract.at(sums[:, 0], tail, 1)
         np.subtract.at(sums[:, 1], tail, top[:, 1])
+        np.subtract.at(sums[:, 2], top[:, 2] * MEMBERS, top[:, 1] == 2)
         self.tails = sums
-        self.counts = np.concatenate([top[:, 1], [train_docs], sums[:, 1]]).astype(np.float64)
-        self.shape = gru.Shape(self.end + 1, TAILS)
-
-    def within(self, count: np.ndarray, tail: np.ndarray) -> np.ndarray:
-        """log10 P(word | its tail class)."""
-        total = np.maximum(self.tails[tail, 1], 1)
-        once = self.tails[tail % SHAPES, 0]  # words seen once, by shape
-        unseen, again = once + 1.0, 2.0 * self.tails[tail % SHAPES, 2] + 1.0
-        p = np.where(count >= 2, count / total, np.where(count == 1, again / (unseen + again) / np.maximum(once, 1), unseen / (unseen + again)))
+        self.shape = gru.Shape(self.end + 1, TAILS, per_class=MEMBERS)
+        #: The first tail symbol.
+        self.first_tail = self.shape.word_classes * MEMBERS
+        self.counts = np.full(self.shape.symbols, -1.0)
+        self.counts[: self.end + 1] = [*top[:, 1], train_docs]
+        rare = np.arange(TAILS * MEMBERS) < SHAPES * MEMBERS
+        self.counts[self.first_tail :] = np.where(rare & (np.arange(TAILS * MEMBERS) % MEMBERS > 0), -1, sums[:, 1])
+
+    def within(self, count: np.ndarray, member: np.ndarray) -> np.ndarray:
+        """log10 P(word | its tail class's member)."""
+        total = np.maximum(self.tails[member, 1], 1)
+        shape = member // MEMBERS % SHAPES * MEMBERS
+        once = self.tails[shape, 0]  # words seen once, by shape
+        unseen, again = once + 1.0, 2.0 * self.tails[shape, 2] + 1.0
+        p = np.where(count >= BANDS[1], count / total, np.where(count == 1, again / (unseen + again) / np.maximum(once, 1), unseen / (unseen + again)))
         return np.log10(p)
 
 
@@ -170,14 +181,14 @@ def corpus(counts: DataFrame, parts_docs: DataFrame) -> Corpus:
     top = np.array([tuple(r) for r in best], np.int64).reshape(-1, 3)
 
     def fold(batches):
-        total = np.zeros((TAILS, 3), np.int64)
+        total = np.zeros((TAILS * MEMBERS, 3), np.int64)
         for batch in batches:
             for b in batch.column("blob").to_pylist():
                 total += np.frombuffer(b, "<i8").reshape(-1, 3)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(TAILS)), *(pa.array(total[:, k]) for k in range(3))], names=["tail", "a", "b", "c"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), *(pa.array(total[:, k]) for k in range(3))], names=["tail", "a", "b", "c"])
 
-    rows = counts.where("kind = 2").select("blob").mapInArrow(fold, "tail long, a long, b long, c long").groupBy("tail").agg(F.sum("a"), F.sum("b"), F.sum("c")).collect()
-    sums = np.zeros((TAILS, 3), np.int64)
+    rows = counts.where("kind = 2").select("blob").mapInArrow(fold, "tail long, a long, b long, c long").groupBy("tail").agg(F.sum("a"), F.sum("b"), F.sum("c")).collect()  # a row for each member
+    sums = np.zeros((TAILS * MEMBERS, 3), np.int64)
     for r in rows:
         sums[r[0]] = r[1:]
     return Corpus(top, sums, parts_docs)
@@ -195,8 +206,8 @@ def resolved(parts: DataFrame, counts: DataFrame, bits: int, shared) -> DataFram
         said = [blobs[k] for k in sorted((k for k, t in enumerate(to) if t >= 0), key=lambda k: to[k])]
         count = np.concatenate([np.frombuffer(b, "<i8", len(b) // 9) for b in said] or [np.zeros(0, np.int64)])
         shape = np.concatenate([np.frombuffer(b, "u1", len(b) // 9, len(b) // 9 * 8) for b in said] or [np.zeros(0, np.uint8)])
-        tail = _tail(count, shape)
-        symbol = tail + c.end + 1
+        tail = _member(words, count, shape)
+        symbol = tail + c.first_tail
         static = c.within(count, tail)
         if len(c.words):
             at = np.minimum(np.searchsorted(c.words, words), len(c.words) - 1)
@@ -226,19 +237,26 @@ def trained(rows: DataFrame, shape: gru.Shape, start: bytes) -> bytes | None:
     def learn(batches):
         trainer, tokens = gru.Trainer(gru.unpacked(start, shape), shape), 0
         for batch in batches:
-            tokens += trainer.run([np.frombuffer(s, "<u2").astype(np.int32) for s in batch.column("symbols").to_pylist()])
+            for part in by_size(batch, "symbols", LANES):
+                tokens += trainer.run([np.frombuffer(s, "<u2") for s in part.column("symbols").to_pylist()])
         if tokens:
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % MEANS], pa.int32()), pa.array([tokens], pa.int64()), pa.array([gru.packed(trainer.p)], pa.binary())], names=["k", "tokens", "model"])
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([tokens], pa.int64()), pa.array([gru.packed(trainer.p)], pa.binary())], names=["k", "tokens", "model"])
 
-    def mean(table):
+    def mean(key, table):
         w = table.column("tokens").to_numpy().astype(np.float64)
-        models = np.stack([np.frombuffer(m, "<f4") for m in table.column("model").to_pylist()])
-        return pa.table({"tokens": pa.array([int(w.sum())], pa.int64()), "model": pa.array([((w / w.sum()) @ models).astype("<f4").tobytes()], pa.binary())})
+        total = sum(x * np.frombuffer(m.as_py(), "<f4") for x, m in zip(w, table.column("model"), strict=True))
+        return pa.table({"k": pa.array([key[0].as_py()], pa.int32()), "tokens": pa.array([int(w.sum())], pa.int64()), "model": pa.array([(total / w.sum()).astype("<f4").tobytes()], pa.binary())})
 
-    done = rows.where("NOT held_out").select("symbols").mapInArrow(learn, "k int, tokens long, model binary")
-    means = done.groupBy("k").applyInArrow(mean, "tokens long, model binary").collect()  # MEANS at most
-    if not means:
+    form = "k int, tokens long, model binary"
+    done = written(rows.where("NOT held_out").select("symbols").mapInArrow(tidied(learn), form), "op2-models")
+    last = done.agg(F.max("k")).first()[0]
+    if last is None:
         return None
+    while last >= MEANS:  # a tree of means
+        before, done, last = done, written(done.select(F.floor(F.col("k") / FAN).cast("int").alias("to"), "tokens", "model").groupBy("to").applyInArrow(mean, form), "op2-models"), last // FAN
+        discard(before)
+    means = done.collect()
+    discard(done)
     w = np.array([r["tokens"] for r in means], np.float64)
     return ((w / w.sum()) @ np.stack([np.frombuffer(bytes(r["model"]), "<f4") for r in means])).astype("<f4").tobytes()
 
@@ -246,7 +264,7 @@ def trained(rows: DataFrame, shape: gru.Shape, start: bytes) -> bytes | None:
 def lm_scores(docs: DataFrame, train_fold) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; train_fold: column, true for texts to hold out."""
     spark = docs.sparkSession
-    bits = min(14, max(7, (2 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length()))
+    bits = hash_bits(docs, 7)
     parts = written(numbered(docs, train_fold, bits), "op2-parts")
     counts = written(counted(parts), "op2-counts")
     train_docs = docs.where(~train_fold).count()
@@ -264,13 +282,14 @@ def lm_scores(docs: DataFrame, train_fold) -> DataFrame:
 
     def judge(batches):
         p = gru.unpacked(final.value, shape)
+        keep = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
         for batch in batches:
-            got = gru.score(p, shape, [np.frombuffer(s, "<u2").astype(np.int32) for s in batch.column("symbols").to_pylist()])
-            total = got / np.log(10) + batch.column("tail_score").to_numpy()
-            keep = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(total)], names=[*keep, "score"])
+            for part in by_size(batch, "symbols", LANES):
+                got = gru.score(p, shape, [np.frombuffer(s, "<u2") for s in part.column("symbols").to_pylist()])
+                total = got / np.log(10) + part.column("tail_score").to_numpy()
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(total)], names=[*keep, "score"])
 
-    scored = rows.select("doc_id", "held_out", "n_tokens", "n_known", "base_score", "tail_score", "symbols").mapInArrow(judge, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    scored = rows.select("doc_id", "held_out", "n_tokens", "n_known", "base_score", "tail_score", "symbols").mapInArrow(tidied(judge), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.withColumn("train_tokens", F.lit(found.train_tokens).cast("long"))
 
 
