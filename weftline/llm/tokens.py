@@ -1,9 +1,13 @@
-"""Byte-level BPE ids from a public tokenizer file, with a bounded cache of blank-separated pieces.
+"""Byte-level BPE ids from a public tokenizer file, with a bounded cache of the runs between spaces.
 
-A byte-level BPE with the usual splitting pattern never joins two words: a token holds a blank only as its
-first character or is made of blanks alone. So the ids of a text are the ids of its pieces, one after the
-other, and frequent pieces need encoding once. Texts for which this doesn't hold (control blanks, blanks
-beyond ASCII, special tokens spelled out) and tokenizers of other kinds go to the library whole.
+A byte-level BPE with the usual splitting pattern lets a token hold a space only as its first character (or be made
+of blanks alone), and looks no further than the next character. So the ids of a text are the ids of its runs between
+single spaces, each with the space before it, one after the other. New runs of many texts are encoded joined in few
+calls and cut where a token begins with a space; known ones are looked up. Texts for which this doesn't hold (several
+spaces in a row, runs that begin with a blank, blanks beyond ASCII, special tokens spelled out) and tokenizers of other
+kinds go to the library whole.
+
+Cases: a null text is empty and has no ids; a run of any length is encoded, only short ones are kept.
 """
 
 from __future__ import annotations
@@ -14,43 +18,12 @@ import re
 
 import numpy as np
 
-#: Letters and ASCII marks (but the apostrophe, which may begin a contraction) between which splitting is sure.
-LETTER = "A-Za-z" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0xFF)))
-MARK = r"!-&(-/:-@\[-`{-~"
-BLANK = r" \t-\r"
-PIECES = re.compile(rf" ?[{LETTER}]+(?=[{MARK}{BLANK}0-9]|\Z)| ?[{MARK}]+(?=[{LETTER}{BLANK}0-9]|\Z)| ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
 #: Characters that some definition calls a blank, other than the six ASCII ones.
 ODD_BLANKS = [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]
-ODD = re.compile("[" + "".join(map(chr, ODD_BLANKS)) + "]")
-LONGEST_KEPT = 48
-#: Entries of a generation, of words (fine) and of what stands between two spaces (coarse).
-MOST_FINE, MOST_COARSE = 300_000, 200_000
-
-
-class _Unsure(Exception):
-    """The text has to go to the library whole."""
-
-
-class _Kept(dict):
-    """piece -> its ids as little-endian uint16; fills itself. When full, it becomes the elder generation."""
-
-    def __init__(self, most: int, make):
-        super().__init__()
-        self.most, self.make, self.elder = most, make, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.elder.get(piece)
-        if ids is None:
-            ids = self.make(piece)
-        if len(piece) <= LONGEST_KEPT:
-            self.keep(piece, ids)
-        return ids
-
-    def keep(self, piece: str, ids: bytes) -> None:
-        if len(self) >= self.most:
-            self.elder = dict(self)
-            self.clear()
-        self[piece] = ids
+#: A run that has to be seen with what stands around it.
+UNSURE = re.compile(r"\A(?:\Z|[\t-\r])|[" + "".join(map(chr, ODD_BLANKS)) + "]")
+#: Characters of a run that is kept, entries of a generation of the cache, runs encoded in a call.
+LONGEST_KEPT, MOST, JOINED = 48, 300_000, 2000
 
 
 class Encoder:
@@ -64,7 +37,7 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
         split = told.get("pre_tokenizer") or {}
-        self.by_piece = (
+        self.by_run = (
             told.get("normalizer") is None
             and split.get("type") == "ByteLevel"
             and not split.get("add_prefix_space", True)
@@ -73,8 +46,9 @@ class Encoder:
             and self.tokenizer.get_vocab_size() < 65536
         )
         self.special = [x["content"] for x in told.get("added_tokens", [])]
-        self.fine = _Kept(MOST_FINE, lambda piece: np.array(self.whole(piece), "<u2").tobytes())
-        self.coarse = _Kept(MOST_COARSE, self._after_space)
+        #: Run -> ids of a space and the run as little-endian uint16, None if unsure; and the generation before.
+        self.kept: dict[str, bytes | None] = {}
+        self.elder: dict[str, bytes | None] = {}
         #: Ids whose token begins with a space.
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.spaced[[k for t, k in self.tokenizer.get_vocab().items() if t[:1] == "\u0120"]] = True
@@ -82,53 +56,62 @@ class Encoder:
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _after_space(self, run: str) -> bytes:
-        """Ids of a space and a run without spaces. Blanks that meet the space form one run with it."""
-        if not run or run[0] in "\t\n\r\x0b\x0c" or ODD.search(run):
-            raise _Unsure
-        return b"".join([self.fine[p] for p in PIECES.findall(" " + run)])
-
-    def _learn(self, texts: list[str]) -> None:
-        """Encode the new words of many texts in few calls: joined, each begins with a token that begins with a space."""
-        runs: set[str] = set()
-        for text in texts:
-            runs.update(text.split(" ")[1:])
-        fine, coarse = self.fine, self.coarse
-        new: set[str] = set()
-        for run in runs:
-            if run and run not in coarse and run not in coarse.elder:
-                word = PIECES.match(" " + run)[0]
-                if 1 < len(word) <= LONGEST_KEPT and word[1:].isalpha() and word not in fine and word not in fine.elder:
-                    new.add(word)
-        words = sorted(new)
-        for a in range(0, len(words), 1000):
-            part = words[a : a + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u2")
-            at, raw = np.flatnonzero(self.spaced[ids]).tolist(), ids.tobytes()
+    def _joined(self, runs: list[str], into: dict[str, bytes | None]) -> None:
+        """Ids of runs, each after a space; one that doesn't begin with a token of its own is encoded alone."""
+        found = self.tokenizer.encode_batch_fast([" " + " ".join(runs[a : a + JOINED]) for a in range(0, len(runs), JOINED)], add_special_tokens=False)
+        for a, got in zip(range(0, len(runs), JOINED), found, strict=True):
+            part = runs[a : a + JOINED]
+            ids = np.array(got.ids, "<u2")
+            at, raw = (2 * np.flatnonzero(self.spaced[ids])).tolist(), ids.tobytes()
             if len(at) == len(part):
-                for word, b, e in zip(part, at, [*at[1:], len(ids)], strict=True):
-                    fine.keep(word, raw[2 * b : 2 * e])
+                into.update(zip(part, map(raw.__getitem__, map(slice, at, [*at[1:], len(raw)])), strict=True))
+            else:
+                into.update((r, np.array(self.whole(" " + r), "<u2").tobytes()) for r in part)
+
+    def _learn(self, runs: set[str]) -> dict[str, bytes | None]:
+        """What is known of the runs, the new ones encoded. The cache takes the short ones."""
+        if len(self.kept) >= MOST:
+            self.kept, self.elder = {}, self.kept
+        kept = self.kept
+        new = runs.difference(kept)
+        for r in new.intersection(self.elder):
+            kept[r] = self.elder[r]
+        new.difference_update(kept)
+        unsure = [r for r in new if UNSURE.search(r)]
+        kept.update(dict.fromkeys((r for r in unsure if len(r) <= LONGEST_KEPT)))
+        new.difference_update(unsure)
+        self._joined([r for r in new if len(r) <= LONGEST_KEPT], kept)
+        long = [r for r in new if len(r) > LONGEST_KEPT]
+        if not long and not any(len(r) > LONGEST_KEPT for r in unsure):
+            return kept
+        own = {r: kept[r] for r in runs if len(r) <= LONGEST_KEPT}
+        own.update(dict.fromkeys(unsure))
+        self._joined(long, own)
+        return own
 
     def ids_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """ids() of many texts; a null is empty."""
         texts = [t or "" for t in texts]
-        if self.by_piece:
-            self._learn(texts)
-        return [self.ids(t) for t in texts]
-
-    def ids(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        if self.by_piece and not any(s in text for s in self.special):
-            first, *rest = text.split(" ")
-            try:
-                if first and not ODD.search(first):
-                    found = [self.fine[p] for p in PIECES.findall(first)]
-                    found += map(self.coarse.__getitem__, rest)
-                    return np.frombuffer(b"".join(found), "<u2").astype(np.uint32)
-            except _Unsure:
-                pass
-        return np.array(self.whole(text), np.uint32)
+        if not self.by_run:
+            return [np.array(self.whole(t), np.uint32) for t in texts]
+        parts = [t.split(" ") for t in texts]
+        known = self._learn(set().union(*parts))
+        # what stands before the first space has none before it
+        heads = self.tokenizer.encode_batch_fast([p[0] for p in parts], add_special_tokens=False)
+        out = []
+        for text, part, head in zip(texts, parts, heads, strict=True):
+            found = [known[r] for r in part]
+            if (part[0] and None in found) or (not part[0] and (len(part) > 1)) or any(s in text for s in self.special):
+                out.append(np.array(self.whole(text), np.uint32))
+            elif not text:
+                out.append(np.zeros(0, np.uint32))
+            else:
+                found[0] = np.array(head.ids, "<u2").tobytes()
+                out.append(np.frombuffer(b"".join(found), "<u2").astype(np.uint32))
+        return out
+
+    def ids(self, text: str | None) -> np.ndarray:
+        return self.ids_batch([text])[0]
 
 
 _ENCODERS: dict[str, Encoder] = {}
