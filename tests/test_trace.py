@@ -62,6 +62,15 @@ def test_events_of_a_run(spark, sides, tmp_path):
     assert tables.read_csv(spark, str(tmp_path / "trace" / "summary")).count() == len(INVENTORY)
 
 
+def test_pairs_are_judged_once(sides, monkeypatch):
+    def again(*_):
+        raise AssertionError("a trace takes the verdicts of the match")
+
+    monkeypatch.setattr(trace, "verdict", again)
+    results, rows = trace.traced_match(*sides, fuzzy=False)
+    assert rows.where("step = 'component_check'").count() > 0 and rows.where("step = 'final'").count() == results.count()
+
+
 def test_events_of_empty_sides(sides):
     inv, cat = sides
     assert trace.traced_match(inv.where("false"), cat)[1].count() == 0

@@ -115,7 +115,7 @@ def run(spark: SparkSession, args: argparse.Namespace, transport=http) -> DataFr
     inventory = tables.row_slice(tables.inventory(tables.numbered(tables.read_csv(spark, args.inventory), "row_index")), start, args.end or 0, args.limit or 0)
     catalog = tables.catalog(tables.numbered(tables.read_csv(spark, args.catalog), "idx"))
     events: list[DataFrame] | None = [] if args.trace else None
-    found = matching.cascade(inventory, catalog, cfg)
+    found = matching.cascade(inventory, catalog, cfg, keep=events is not None)
     rows = tables.scratch(found.results, "cli-matched")
     if events is not None:
         events.append(trace.match_events(found, cfg))
