@@ -269,3 +269,44 @@ def test_search_shards_and_query_blocks(spark, monkeypatch):
     monkeypatch.setattr(search, "QUERY_WORDS", 256)
     monkeypatch.setattr(search, "BLOCK", 4)
     assert rows_of(search.op10_search(spark, DATA)) == whole
+
+
+def test_queries_are_scored_together_without_loss(monkeypatch):
+    """Tables and lists of any extent, queries in any blocks: each query's best are those of plain scores, floors and ties included."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    docs = [np.unique(rng.zipf(1.3, rng.integers(1, 60)) % 500, return_counts=True) for _ in range(300)] + [(np.array([1, 2, 3]), np.array([1, 1, 70000]))] * 40
+    n = len(docs)
+    tf, doc = np.concatenate([c for _, c in docs]), np.repeat(np.arange(n), [len(t) for t, _ in docs])
+    flat = np.concatenate([t for t, _ in docs]).astype(np.uint64)
+    by = np.argsort(flat, kind="stable")
+    words, df = np.unique(flat, return_counts=True)
+    sizes = np.array([c.sum() for _, c in docs], "<i8")
+    ids = [None, *range(n - 1)]
+    t = pa.table({"term": [words.astype("<u8").tobytes()], "df": [df.astype("<u4").tobytes()], "doc": [doc[by].astype("<u4").tobytes()], "tf": [tf[by].astype("<u4").tobytes()], "size": [sizes.tobytes()], "id": [ids]})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, t.schema) as w:
+        w.write_table(t)
+    asks = [t.astype(np.uint64) for t, _ in docs[:30]] + [np.array([999], np.uint64), np.zeros(0, np.uint64), docs[-1][0].astype(np.uint64)]
+    weigh = dict(zip(words.tolist(), np.log1p((n - df + 0.5) / (df + 0.5)).tolist(), strict=True))
+    idfs = [np.array([weigh.get(x, 1.0) for x in q.tolist()]) for q in asks]
+    want = []
+    for q in asks:
+        held = set(q.tolist())
+        found = []
+        for d, (terms, counts) in enumerate(docs):
+            s = sum(weigh[x] * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * sizes[d] / 20.0)) for x, c in zip(terms.tolist(), counts.tolist(), strict=True) if x in held)
+            found += [(-round(s, 6), ids[d] is None, ids[d] or 0, d)] if s else []
+        want.append([(d, -s) for s, _, _, d in sorted(found)[:10]])
+    lows = np.array([(-1.0, w[-1][1], w[len(w) // 2][1], 0.3 * w[-1][1])[j % 4] if w else 2.0 for j, w in enumerate(want)])
+    ends = np.cumsum([0, *map(len, asks)])
+    for wide, cells, block, listed, exact in ((20, 4 << 20, 128, 1 << 18, 1024), (4, 4 << 20, 3, 50, 2), (10**9, 2000, 7, 1, 1), (1, 0, 64, 1 << 18, 5)):
+        for name, value in (("WIDE", wide), ("CELLS", cells), ("BLOCK", block), ("LISTED", listed), ("EXACT", exact)):
+            monkeypatch.setattr(search, name, value)
+        shard = search.Shard(sink.getvalue().to_pybytes(), 20.0)
+        got = {j: list(zip(d.tolist(), s.tolist(), strict=True)) for j, d, s in shard.best(shard.places(np.concatenate(asks)), np.concatenate(idfs), ends, 10, lows)}
+        for j, w in enumerate(want):
+            w, found = [x for x in w if x[1] >= lows[j] - 5e-6], got.get(j, [])
+            assert [d for d, _ in found] == [d for d, _ in w] and all(abs(a - b) < 2e-6 for (_, a), (_, b) in zip(found, w, strict=True))

@@ -1,15 +1,14 @@
-"""Exact top-k search (10): BM25 over sharded inverted indexes with block-max WAND pruning, merged by global statistics.
+"""Exact top-k search (10): BM25 over sharded inverted indexes with tables of frequent terms, merged by global statistics.
 
 Each part of the documents becomes a shard: postings by term (64-bit word hashes) over blocks of documents.
 Document frequencies and lengths of the whole corpus score all shards alike, so merging the shards' top k gives
 the corpus's top k exactly.
 
 A query first meets the shard that it comes from, in full: the k-th score there is a floor for all other shards,
-and a task raises it from shard to shard. In a shard the query's terms are ordered by their greatest impact. The
-pivot is where their sum reaches a share of the floor: documents that hold terms before it alone can't be listed, so
-only the postings after it are read. A document read there is scored in full (the terms before the pivot are looked up) only
-if what it has so far, and then the block maxima of those terms, leave it a chance. Queries run in blocks
-of bounded size; a block of queries is what is broadcast.
+and a task raises it from shard to shard. In a shard the terms that many documents hold are a table of impacts, and a
+matrix product in single precision gives what they add for many queries and all documents at once; the lists of the other
+terms are added to it. What comes close to the floor or above it, rounding errors included, is scored exactly. Queries
+run in blocks of bounded size; a block of queries is what is broadcast.
 
 Score: sum over the query's distinct words of ln(1 + (N - df + .5) / (df + .5)) * tf * 2.2 / (tf + 1.2 * (.25 +
 .75 * length / mean length)), rounded to 6 digits; words are runs of other bytes than ASCII blanks, A-Z
@@ -23,6 +22,8 @@ listed under it each with ranks of its own); an empty table gives no rows; other
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -33,13 +34,16 @@ from weftline.llm import bytehash
 from weftline.llm.common import discard, hash_bits, texts, tidied, written
 
 K1, B = 1.2, 0.75
-#: Documents of a block; postings that a shard holds; distinct words of a block of queries.
-BLOCK, POSTINGS, QUERY_WORDS = 64, 2 << 20, 1 << 20
+#: Postings that a shard holds; distinct words of a block of queries.
+POSTINGS, QUERY_WORDS = 2 << 20, 1 << 20
 #: Scores are rounded and summed in floating point: bounds closer than this to a floor don't rule out.
 SLACK = 1e-5
-#: Share of the floor up to which the sum of the terms' greatest impacts puts the pivot. At 1 the fewest postings are
-#: read, but most documents read keep a chance; the results are the same at any share up to 1.
-PIVOT = 0.4
+#: Terms that one document of WIDE (on average) holds have a row in a shard's table, which has CELLS cells at most.
+WIDE, CELLS = 20, 4 << 20
+#: Queries of a matrix product; postings of lists (or scores) added at once; documents scored exactly at once.
+BLOCK, LISTED, EXACT = 128, 1 << 18, 1024
+#: The least sum that counts as a shared word.
+TINY = 1e-30
 #: Documents of a shard at most (20 bits number the queries of a part).
 DOCS = 1 << 20
 U = np.uint64
@@ -144,34 +148,49 @@ def weighed(rows: DataFrame) -> DataFrame:
 
 
 class Shard:
-    """A shard ready for queries, given the corpus's mean length."""
+    """A shard ready for queries, given the corpus's mean length.
+
+    The impacts of terms that many of its documents hold are a table, which a matrix product weighs for many queries at once;
+    those of all other terms are lists."""
 
     def __init__(self, blob: bytes, mean: float):
         t = pa.ipc.open_stream(blob).read_all()
         get = lambda c, kind: np.frombuffer(t.column(c)[0].as_py(), kind)
-        self.term, df, doc, tf, size = get("term", "<u8"), get("df", "<u4"), get("doc", "<u4"), get("tf", "<u4"), get("size", "<i8")
+        self.term, df, doc, tf, size = get("term", "<u8"), get("df", "<u4").astype(np.int64), get("doc", "<u4"), get("tf", "<u4"), get("size", "<i8")
         # a null id comes last among ties
         self.id = np.array([LAST if x is None else x for x in t.column("id")[0].as_py()], np.int64)
-        self.doc = doc.astype(np.int32)
-        tf = tf.astype(np.float64)
-        self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[self.doc] / mean))
-        self.start = np.concatenate([[0], np.cumsum(df, dtype=np.int64)])
-        self.most = np.maximum.reduceat(self.impact, self.start[:-1]) if len(df) else np.zeros(0)
-        term = np.repeat(np.arange(len(df), dtype=np.int64), df)
-        self.key = term * len(size) + self.doc  # ascends
-        # block maxima, as a table of the terms that many blocks hold
-        block = self.doc // BLOCK
-        new = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (term[1:] != term[:-1])])) if len(block) else np.zeros(0, np.int64)
-        self.blocks = -(-len(size) // BLOCK)
-        held = np.bincount(term[new], minlength=len(df))
-        wide = np.flatnonzero(4 * held >= self.blocks)
+        n = len(size)
+        self.norm = K1 * (1 - B + B * size / mean)
+        wide = np.flatnonzero(df * WIDE >= n)
+        most = CELLS // max(1, n)
+        wide = np.sort(wide[np.argsort(-df[wide], kind="stable")[:most]])
         self.row = np.full(len(df), -1)
         self.row[wide] = np.arange(len(wide))
-        self.table = np.zeros((len(wide), self.blocks), np.float32)
-        if len(new):
-            at = new[self.row[term[new]] >= 0]
-            best = np.maximum.reduceat(self.impact, new)[self.row[term[new]] >= 0]
-            self.table[self.row[term[at]], block[at]] = best * (1 + 1e-6)
+        begin = np.concatenate([[0], np.cumsum(df)])
+        listed = np.ones(len(doc), bool)
+        self.tf = np.zeros((len(wide), n), np.uint16 if not len(tf) or tf.max() < 1 << 16 else np.uint32)
+        for r, k in enumerate(wide.tolist()):
+            x = slice(begin[k], begin[k + 1])
+            self.tf[r, doc[x]] = tf[x]
+            listed[x] = False
+        self.table = np.zeros(self.tf.shape, np.float32)
+        for r in range(len(wide)):
+            self.table[r] = self._impact(self.tf[r], self.norm)
+        self.tf = np.ascontiguousarray(self.tf.T)
+        # lists of the terms without a row, laid end to end
+        self.doc = doc[listed].astype(np.int32)
+        self.impact = self._impact(tf[listed], self.norm.take(self.doc))
+        held = df.copy()
+        held[wide] = 0
+        self.start = np.concatenate([[0], np.cumsum(held)])
+        #: Relative error of a sum of products in single precision, all of them positive, with some room.
+        self.error = (len(wide) + 8) * 2.0**-23
+
+    @staticmethod
+    def _impact(tf: np.ndarray, norm: np.ndarray) -> np.ndarray:
+        tf = tf.astype(np.float64)
+        return tf * (K1 + 1) / (tf + norm)
+
     def places(self, terms: np.ndarray) -> np.ndarray:
         """Numbers of (ascending) terms in this shard, -1 for those that it lacks."""
         if not len(self.term):
@@ -180,46 +199,74 @@ class Shard:
         return np.where(self.term[at] == terms, at, -1)
 
     def top(self, at: np.ndarray, idf: np.ndarray, k: int, floor: float = -1.0) -> tuple[np.ndarray, np.ndarray]:
-        """The k best documents (their numbers) and scores, all of those that reach the floor considered. at: places() of
-        the query's terms."""
-        none = np.zeros(0, np.int64), np.zeros(0)
-        at, idf = at[(hit := at >= 0)], idf[hit]
-        if not len(at):
-            return none
-        bound = idf * self.most[at]
-        order = np.argsort(bound, kind="stable")
-        upto = np.cumsum(bound[order])
-        if upto[-1] < floor - SLACK:
-            return none
-        pivot = int(np.searchsorted(upto, PIVOT * floor - SLACK))
-        read, rest = np.sort(order[pivot:]), order[:pivot]
-        lists = list(map(slice, self.start[at[read]].tolist(), self.start[at[read] + 1].tolist()))
-        docs = np.concatenate([self.doc[x] for x in lists])
-        part = np.concatenate([self.impact[x] for x in lists])
-        part *= np.repeat(idf[read], self.start[at[read] + 1] - self.start[at[read]])
-        if 4 * len(docs) < len(self.id):
-            docs, place = np.unique(docs, return_inverse=True)
-            scores = np.bincount(place, part, len(docs))
-        else:
-            scores = np.bincount(docs, part, len(self.id))
-            docs = np.flatnonzero(scores)
-            scores = scores[docs]
-        if pivot:
-            docs, scores = docs[(keep := scores + upto[pivot - 1] >= floor - SLACK)], scores[keep]
-            row = self.row[at[rest]]
+        """best() of one query."""
+        for _, docs, scores in self.best(at, idf, np.array([0, len(at)]), k, np.array([floor])):
+            return docs, scores
+        return np.zeros(0, np.int64), np.zeros(0)
+
+    def best(self, at: np.ndarray, idf: np.ndarray, ends: np.ndarray, k: int, floors: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(query, its k best documents' numbers, scores) of each query that has documents at its floor or above, all
+        documents considered. at: places() of the queries' terms, those of query j from ends[j] to ends[j + 1].
+        """
+        n = len(self.id)
+        for a in range(0, len(floors), BLOCK):
+            b = min(len(floors), a + BLOCK)
+            own = np.repeat(np.arange(b - a), np.diff(ends[a : b + 1]))
+            place, weight = at[ends[a] : ends[b]], idf[ends[a] : ends[b]]
+            hit = place >= 0
+            own, place, weight = own[hit], place[hit], weight[hit]
+            row = self.row[place]
             wide = row >= 0
-            most = idf[rest][wide].astype(np.float32) @ self.table[row[wide]] * (1 + 1e-5) + bound[rest][~wide].sum()
-            docs, scores = docs[(keep := scores + most[docs // BLOCK] >= floor - SLACK)], scores[keep]
-            # what the terms before the pivot add to the documents left
-            wanted = at[rest][:, None] * len(self.id) + docs
-            found = np.minimum(np.searchsorted(self.key, wanted), len(self.key) - 1)
-            scores = scores + (np.where(self.key[found] == wanted, self.impact[found], 0.0) * idf[rest][:, None]).sum(axis=0)
-        scores = np.round(scores, 6)
-        if len(docs) > k:
-            keep = scores >= np.partition(scores, len(docs) - k)[len(docs) - k]
-            docs, scores = docs[keep], scores[keep]
-        best = np.lexsort((self.id[docs], -scores))[:k]
-        return docs[best], scores[best]
+            asked = np.zeros((b - a, len(self.table)))
+            asked[own[wide], row[wide]] = weight[wide]
+            product = asked.astype(np.float32) @ self.table
+            own, place, weight = own[~wide], place[~wide], weight[~wide]
+            start = self.start[place]
+            length = self.start[place + 1] - start
+            some = np.searchsorted(own, np.arange(b - a + 1))
+            upto = np.concatenate([[0], np.cumsum(length)])
+            done = upto[some]
+            c = 0
+            while c < b - a:
+                # as many queries as have LISTED postings to add
+                e = min(max(c + 1, int(np.searchsorted(done, done[c] + LISTED, side="right")) - 1), c + max(1, LISTED // n))
+                x = slice(some[c], some[e])
+                m = length[x]
+                index = np.repeat(start[x] - (upto[x] - done[c]), m)
+                index += np.arange(len(index))
+                cell = np.repeat((own[x] - c) * n, m)
+                cell += self.doc.take(index)
+                add = self.impact.take(index)
+                add *= np.repeat(weight[x], m)
+                listed = np.bincount(cell, add, (e - c) * n).astype(np.float64, copy=False).reshape(e - c, n)
+                about = listed + product[c:e]
+                low = (floors[a + c : a + e] - SLACK) * (1 - self.error)
+                q, d = np.divmod(np.flatnonzero(about >= np.maximum(low, TINY)[:, None]), n)
+                yield from self._exact(a + c, q, d, about, listed, asked[c:e], k, floors)
+                c = e
+
+    def _exact(self, first: int, q, d, about, listed, asked, k: int, floors) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The best of the documents that may be, by their exact scores."""
+        cut = np.searchsorted(q, np.arange(len(about) + 1))
+        for j in np.flatnonzero(np.diff(cut)).tolist():
+            docs = d[cut[j] : cut[j + 1]]
+            if len(docs) > k:
+                v = about[j].take(docs)
+                docs = docs[v >= np.partition(v, len(v) - k)[len(v) - k] * (1 - 2 * self.error) - SLACK]
+            scores = listed[j].take(docs)
+            use = np.flatnonzero(asked[j])
+            weight = asked[j].take(use)
+            for s in range(0, len(docs), EXACT):
+                part = docs[s : s + EXACT]
+                scores[s : s + EXACT] += (self._impact(self.tf[part[:, None], use], self.norm.take(part)[:, None]) * weight).sum(axis=1)
+            scores = np.round(scores, 6)
+            docs, scores = docs[(keep := scores >= floors[first + j] - SLACK)], scores[keep]
+            if len(docs) > k:
+                keep = scores >= np.partition(scores, len(docs) - k)[len(docs) - k]
+                docs, scores = docs[keep], scores[keep]
+            if len(docs):
+                best = np.lexsort((self.id[docs], -scores))[:k]
+                yield first + j, docs[best], scores[best]
 
 
 LAST = 2**63 - 1
@@ -247,14 +294,16 @@ def floors(index: DataFrame, queries: DataFrame, n: int, mean: float, k: int) ->
         if asked:
             shard = Shard(blobs[grps.index(-1)][0], mean)
         for j in asked:
-            rows, ids, words, idfs, lows = [], [], [], [], []
+            rows, ids, words, idfs = [], [], [], []
             for row, id_, terms, idf in _queries(blobs[j], n):
-                _, scores = shard.top(shard.places(terms), idf, k)
                 rows.append(row)
                 ids.append(id_)
                 words.append(terms)
                 idfs.append(idf)
-                lows.append(scores[k - 1] if len(scores) == k else -1.0)
+            lows = [-1.0] * len(rows)
+            at = shard.places(np.concatenate(words))
+            for q, _, scores in shard.best(at, np.concatenate(idfs), np.cumsum([0, *map(len, words)]), k, np.array(lows)):
+                lows[q] = scores[k - 1] if len(scores) == k else -1.0
             sink = pa.BufferOutputStream()
             own = pa.table({"row": pa.array(rows, pa.int64()), "id": pa.array(ids, pa.int64()), "low": pa.array(lows, pa.float64()), "terms": pa.array([w.tobytes() for w in words], pa.binary()), "idf": pa.array([w.tobytes() for w in idfs], pa.binary())})
             with pa.ipc.new_stream(sink, own.schema) as w:
@@ -293,28 +342,25 @@ def top_k(docs: DataFrame, is_query: Column, k: int) -> DataFrame:
 
         def ask(batches):
             asked = pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in shared.value])
-            rows, ids, lows = (asked.column(c).to_pylist() for c in ("row", "id", "low"))
-            idfs = [np.frombuffer(x, "<f8") for x in asked.column("idf").to_pylist()]
+            rows, ids = (asked.column(c).to_pylist() for c in ("row", "id"))
+            lows = asked.column("low").to_numpy().copy()
+            idfs = np.concatenate([np.frombuffer(x, "<f8") for x in asked.column("idf").to_pylist()])
             lists = [np.frombuffer(x, "<u8") for x in asked.column("terms").to_pylist()]
             words, of = np.unique(np.concatenate(lists), return_inverse=True)
-            ends = np.cumsum([0, *map(len, lists)]).tolist()
+            ends = np.cumsum([0, *map(len, lists)])
             best: dict[int, tuple] = {}
             for batch in batches:
                 for blob in batch.column("blob").to_pylist():
                     shard = Shard(blob, mean)
-                    at = shard.places(words)
-                    for j, (row, low) in enumerate(zip(rows, lows, strict=True)):
-                        old = best.get(row)
-                        if old is not None and len(old[2]) == k:
-                            low = max(low, old[2][-1])
-                        d, s = shard.top(at[of[ends[j] : ends[j + 1]]], idfs[j], k, low)
-                        if len(d):
-                            i = shard.id[d]
-                            if old is not None:
-                                i, s = np.concatenate([old[1], i]), np.concatenate([old[2], s])
-                                keep = np.lexsort((i, -s))[:k]
-                                i, s = i[keep], s[keep]
-                            best[row] = ids[j], i, s
+                    for j, d, s in shard.best(shard.places(words)[of], idfs, ends, k, lows):
+                        i, old = shard.id[d], best.get(rows[j])
+                        if old is not None:
+                            i, s = np.concatenate([old[1], i]), np.concatenate([old[2], s])
+                            keep = np.lexsort((i, -s))[:k]
+                            i, s = i[keep], s[keep]
+                        best[rows[j]] = ids[j], i, s
+                        if len(s) == k:
+                            lows[j] = max(lows[j], s[-1])
             for row, (id_, i, s) in best.items():
                 yield pa.RecordBatch.from_arrays([pa.array([row] * len(i), pa.int64()), pa.array([id_] * len(i), pa.int64()), pa.array(i, mask=i == LAST), pa.array(s)], names=["row", "query_id", "doc_id", "score"])
 
