@@ -40,7 +40,7 @@ POSTINGS, QUERY_WORDS = 2 << 20, 1 << 20
 SLACK = 1e-5
 #: Terms that one document of WIDE (on average) holds have a row in a shard's table, which has CELLS cells at most.
 WIDE, CELLS = 20, 4 << 20
-#: Queries of a matrix product; postings of lists (or scores) added at once; documents scored exactly at once.
+#: Queries of a matrix product, where its result has no more than CELLS cells; postings of lists (or scores) added at once; documents scored exactly at once.
 BLOCK, LISTED, EXACT = 128, 1 << 18, 1024
 #: The least sum that counts as a shared word.
 TINY = 1e-30
@@ -209,8 +209,9 @@ class Shard:
         documents considered. at: places() of the queries' terms, those of query j from ends[j] to ends[j + 1].
         """
         n = len(self.id)
-        for a in range(0, len(floors), BLOCK):
-            b = min(len(floors), a + BLOCK)
+        step = max(1, min(BLOCK, CELLS // max(1, n)))
+        for a in range(0, len(floors), step):
+            b = min(len(floors), a + step)
             own = np.repeat(np.arange(b - a), np.diff(ends[a : b + 1]))
             place, weight = at[ends[a] : ends[b]], idf[ends[a] : ends[b]]
             hit = place >= 0
