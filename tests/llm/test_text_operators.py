@@ -416,3 +416,22 @@ def test_one_very_long_text_costs_its_own_length():
     assert seen == sum(map(len, texts)) and peak < 30e6
     p = gru.initial(shape, np.ones(shape.symbols))
     assert gru.Trainer(p, shape).run([t[:100_000] for t in texts], window=64) == 60_000 + 100_000
+
+
+def test_plain_runs_are_merged_as_the_library_does(library):
+    """New runs of plain characters don't take the library's way, one by one, and have its ids."""
+    rng = np.random.default_rng(11)
+    parts = ["the", "tion", "an", "ananan", "aaaa", "Über", "ſtÀÿ", "ǅ", "ɏ", "12", "007", "!!", ".", ",", "&&&", "_", "\n", "(", "'s", "’", "×", "²", "½", "ə", "\t", "日", "\x00"]
+    runs = ["".join(rng.choice(parts, rng.integers(1, 7))) for _ in range(3000)] + ["", "\n", "a\n", "a\n\nb", "a" * 47, "ab" * 24]
+    enc, found = Encoder(default_path()), {}
+    left = enc.merger.encode(list(dict.fromkeys(runs)), found)
+    assert set(left) | set(found) == set(runs) and not set(left) & set(found) and len(found) > 500
+    for r, ids in found.items():
+        assert np.frombuffer(ids, "<u2").tolist() == encoded(library, " " + r), repr(r)
+    plain = [r for r in found if "'" not in r]
+    assert len(plain) == len(found) and {"a\n", "a\n\nb", "", "\n"} <= set(left) and "a" * 47 in found
+    # beside each other in a text (a special token spelled out among them), and once more from the cache
+    runs.insert(5, "<|endoftext|>")
+    for _ in range(2):
+        for text, ids in zip([" ".join(runs[k : k + 9]) for k in range(0, 900, 9)], enc.ids_batch([" ".join(runs[k : k + 9]) for k in range(0, 900, 9)]), strict=True):
+            assert ids.tolist() == encoded(library, text), repr(text)
