@@ -5,6 +5,7 @@ import math
 import os
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from plain import crc_mod, language as plain_language, profiles, words
 from pyspark.sql import functions as F
 from rough import ROWS, docs, none
 
-from weftline.llm import language, media, packing, scoring, token_orc
+from weftline.llm import language, media, packing, scoring, token_orc, tokens
 from weftline.llm.common import fold_of, scratch
 from weftline.llm.tokens import ODD_BLANKS, Encoder, default_path
 
@@ -435,3 +436,40 @@ def test_plain_runs_are_merged_as_the_library_does(library):
     for _ in range(2):
         for text, ids in zip([" ".join(runs[k : k + 9]) for k in range(0, 900, 9)], enc.ids_batch([" ".join(runs[k : k + 9]) for k in range(0, 900, 9)]), strict=True):
             assert ids.tolist() == encoded(library, text), repr(text)
+
+
+def test_pieces_are_merged_once_and_by_no_library_call(library, monkeypatch):
+    """What the pattern cuts is told apart before it is merged: a word is new once, whatever stands around it."""
+    enc, merged = Encoder(default_path()), []
+    merge = enc.merger.merge
+    monkeypatch.setattr(enc.merger, "merge", lambda raw, size: merged.append(raw.shape[1]) or merge(raw, size))
+    own = enc.tokenizer
+    enc.tokenizer = SimpleNamespace(encode=None, encode_batch_fast=lambda texts, **_: own.encode_batch_fast(texts, add_special_tokens=False) if not texts else pytest.fail(texts[0]))
+    words, ends = [f"wor{a}d{b}" for a in "abcdefgh" for b in "iklmn"], [".", ",", "!!", ".\nThe", "&&&", "7", "\n12", ""]
+    texts = [" ".join(w + e for e in ends) for w in words]
+    for text, ids in zip(texts * 2, enc.ids_batch(texts) + enc.ids_batch(texts), strict=True):
+        assert ids.tolist() == encoded(library, text)
+    # with a space before it and, at the head of a text, without
+    assert 0 < sum(merged) <= 2 * len(words) + 2 * len(ends)
+
+
+def test_encoder_forgets_what_is_rare(library, monkeypatch):
+    """Blanks, marks and texts' ends in all orders, while most pieces are forgotten between the batches."""
+    monkeypatch.setattr(tokens, "MOST", 40)
+    rng, enc = np.random.default_rng(5), Encoder(default_path())
+    parts = ["the", "tion", "Über", "ǅ", "ɏ", "ɐ", "7", "!!", "'s", "’", "×", "²", "日", "\U0001f600", "\n", "\t", "\r\n", "<|endoftext|>", *" " * 12, *map(chr, ODD_BLANKS), "a" * 60]
+    for _ in range(30):
+        texts = [None, "", *("".join(rng.choice(parts, n)) for n in rng.integers(1, 12, 80))]
+        for text, ids in zip(texts, enc.ids_batch(texts), strict=True):
+            assert ids.tolist() == encoded(library, text), repr(text)
+        assert len(enc.known) <= 40
+
+
+def test_orc_rows_of_several_chunks(spark, library, monkeypatch):
+    """Offsets of the ids within a chunk of texts, end ids included, and rows numbered through."""
+    path = scratch(spark, "chunks")
+    rows = [(k, None if k % 5 == 0 else f"text {k % 7} of\nsome words, " * (k % 4)) for k in range(-20, 60)]
+    monkeypatch.setattr(token_orc, "CHUNK", 50)
+    token_orc.write_ids(spark.createDataFrame(rows, "doc_id long, text string"), path)
+    got = sorted(map(tuple, token_orc.read_ids(spark, path).select("doc_id", "ids").collect()))
+    assert got == [(k, encoded(library, t) + [2]) for k, t in rows]

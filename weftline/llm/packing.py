@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import texts, written
-from weftline.llm.tokens import default_path, encoder
+from weftline.llm.common import by_size, texts, written
+from weftline.llm.tokens import CHUNK, default_path, encoder
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: A length's documents are ranked in so many groups at most, so that no length meets in one task.
@@ -39,11 +39,10 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, most:
     def encode(batches):
         enc = encoder(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in by_size(batch, "text", CHUNK):
                 out: list[tuple] = []
                 kept: list[np.ndarray] = []
-                for doc_id, found in zip(part.column("doc_id").to_pylist(), enc.ids_batch(part.column("text").to_pylist()), strict=True):
+                for doc_id, found in zip(part.column("doc_id").to_pylist(), enc.ids_batch(part.column("text")), strict=True):
                     ids = np.append(found, np.uint32(end_id)).astype("<u4")
                     for k, (a, n) in enumerate(cut(len(ids), most)):
                         out.append((doc_id, k, a, n, zlib.crc32(ids[a : a + n].tobytes())))

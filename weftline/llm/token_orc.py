@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import scratch, texts, written
-from weftline.llm.tokens import default_path, encoder
+from weftline.llm.common import by_size, scratch, texts, written
+from weftline.llm.tokens import CHUNK, default_path, encoder
 
 #: Bytes of a stripe, rows of a row group.
 STRIPE, ROWS = 16 << 20, 1000
@@ -34,13 +34,12 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
     def encode(batches):
         enc, row = encoder(tokenizer), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids = [np.append(x, np.uint32(end_id)).astype(np.int32) for x in enc.ids_batch(part.column("text").to_pylist())]
-                ends = np.cumsum([0, *map(len, ids)])
-                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.arange(row, row + len(ids)), pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))], names=["doc_id", "row", "ids"])
-                row += len(ids)
+            for part in by_size(batch, "text", CHUNK):
+                ids, ends = enc.flat(part.column("text"))
+                ids = np.insert(ids.astype(np.int32), ends[1:], end_id)
+                ends = ends + np.arange(len(ends))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.arange(row, row + part.num_rows), pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))], names=["doc_id", "row", "ids"])
+                row += part.num_rows
 
     ordered = texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     (
