@@ -312,6 +312,19 @@ def test_scoring_rough(spark):
     assert all(r["train_tokens"] == r["n_known"] == 0 and math.isfinite(r["score"]) for r in untrained)
 
 
+def test_scoring_parts_of_empty_texts(spark):
+    """A part without a word, held out or not, beside one with words, and a corpus without any."""
+    rows = [(k, t) for k, t in enumerate([None, "", " \n", None, "a few words", "a few more"])]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for few in (table, table.where("doc_id < 4")):
+        for held in (F.lit(False), fold_of(F.col("doc_id"), 7) == 2, F.lit(True)):
+            got = scoring.lm_scores(few.repartitionByRange(6, "doc_id"), held).collect()
+            assert {r["doc_id"]: r["n_tokens"] for r in got} == {k: len((t or "").split()) + 1 for k, t in rows[: len(got)]}
+            assert len(got) in (4, 6) and all(math.isfinite(r["score"]) for r in got)
+    got = scoring.lm_scores(table.repartitionByRange(6, "doc_id"), fold_of(F.col("doc_id"), 7) == 2).collect()
+    assert {(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got} == base_rows(rows)
+
+
 def test_recurrent_model_gradients_and_state():
     from weftline.llm import gru
 

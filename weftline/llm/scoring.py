@@ -65,7 +65,7 @@ def numbered(docs: DataFrame, train_fold, bits: int) -> DataFrame:
             counts = np.bincount(number[train], minlength=len(words)).astype(np.uint32)
             to = (words >> U(64 - bits)).astype(np.int64)
             cut = np.flatnonzero(np.diff(to, prepend=-1))
-            ends = [*cut[1:].tolist(), len(words)]
+            ends = [*cut[1:].tolist(), *[len(words)] * (len(words) > 0)]  # a part of empty texts has no words
             shape = shape[at]
             rows = [(int(to[a]), b"".join((words[a:b].tobytes(), counts[a:b].tobytes(), shape[a:b].tobytes()))) for a, b in zip(cut.tolist(), ends, strict=True)]
             wide = np.uint32 if len(words) > 65535 else np.uint16
