@@ -71,11 +71,11 @@ def cuts(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         other[odd], begins[odd] = True, False
     begins[ends[:-1][ends[:-1] < len(raw)]] = True
     inner = kind[1:] != kind[:-1]
-    inner &= ~(space[1:] | space[:-1])
+    aside = space | other
+    inner &= ~(aside[1:] | aside[:-1])
     inner = np.flatnonzero(inner) + 1
     run = np.flatnonzero(begins)
-    bad = np.zeros(len(run), bool)
-    bad[np.searchsorted(run, np.flatnonzero(other), side="right") - 1] = True
+    bad = np.bitwise_or.reduceat(other, run)
     begins[inner[~bad[np.searchsorted(run, inner, side="right") - 1]]] = True
     start = np.flatnonzero(begins)
     return start, np.searchsorted(start, run[bad])
